@@ -6,9 +6,10 @@ sides of a check start from the same rows. Everything is whole-number arithmetic
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from odflow.functions.bins import step_of_day
 from odflow.plans.prepare import TripInputs
 from odflow.sources.network import TimedNetwork
 
@@ -155,11 +156,14 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stepped.filter(EDGE_WHERE).selectExpr(*_as_exprs(EDGES))
 
 
+def _cost(profile: Column) -> Column:
+    """COST as a column expression."""
+    return F.col("base") + (F.col("id") * 31 + profile * 17) % 500
+
+
 def network(spark: SparkSession, sf_dir: str) -> TimedNetwork:
     """Costs depend on the five-minute step of the day, the same on every day."""
-    from odflow.functions.bins import step_of_day
-
-    return TimedNetwork(edges(spark, sf_dir), profile=step_of_day, cost=lambda profile: F.expr(COST))
+    return TimedNetwork(edges(spark, sf_dir), profile=step_of_day, cost=_cost)
 
 
 def trip_inputs(spark: SparkSession, sf_dir: str) -> TripInputs:

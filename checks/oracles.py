@@ -131,7 +131,8 @@ CTES["bins"] = (
 CTES["binned"] = (
     "SELECT p.*, time_bucket(INTERVAL '5' MINUTE, pickup_datetime) AS pickup_bin, b.bin_start FROM all_imputed_prepared p "
     "LEFT JOIN bins b ON b.service_date = p.service_date AND p.pickup_datetime >= b.bin_start "
-    "AND p.pickup_datetime < b.bin_start + INTERVAL '5' MINUTE")
+    "AND p.pickup_datetime < b.bin_start + INTERVAL '5' MINUTE "
+    "WHERE p.service_date >= DATE '2024-01-01' AND p.service_date < DATE '2024-01-31'")
 CTES["vertices"] = "SELECT DISTINCT vertex_id, node_id FROM vertex_map"
 CTES["od_trips"] = (
     "SELECT DISTINCT b.service_date, b.bin_start, b.mlsassignedptc, b.ptctripid, b.trippassengerid, "

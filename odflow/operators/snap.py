@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from odflow.functions.geo import gap_to_range, reach_over_range, squared_distance
-from odflow.runtime import broadcast_if_small
+from odflow.runtime import BROADCAST_ROWS
 
 # Cells per side shrink fourfold a level; no level is finer than this share of the extent.
 FANOUT = 4
@@ -50,7 +50,7 @@ def _levels(places: DataFrame, x0: float, y0: float, extent: float) -> list[floa
     return sizes[: min(fit) + 1] if fit else sizes
 
 
-def snap_nearest(points: DataFrame, places: DataFrame) -> DataFrame:
+def snap_nearest(points: DataFrame, places: DataFrame, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Nearest place of every distinct (x, y) in ``points``: (x, y, node_id, d2).
 
     ``places`` is (x, y, node_id). Equal distances go to the smallest node_id. Points
@@ -58,14 +58,18 @@ def snap_nearest(points: DataFrame, places: DataFrame) -> DataFrame:
     """
     points = points.select("x", "y").filter("x IS NOT NULL AND y IS NOT NULL").distinct()
     box = places.agg(F.min("x").alias("x0"), F.max("x").alias("x1"),
-                     F.min("y").alias("y0"), F.max("y").alias("y1")).first()
-    if box["x0"] is None:
+                     F.min("y").alias("y0"), F.max("y").alias("y1"), F.count("*").alias("n")).first()
+    if box["n"] == 0:
         return points.limit(0).select("x", "y", F.lit(None).cast("long").alias("node_id"),
                                       F.lit(None).cast("double").alias("d2"))
     x0, y0 = box["x0"], box["y0"]
     # A little over the span, so that the largest coordinates fall inside the last cell.
     extent = math.nextafter(max(box["x1"] - x0, box["y1"] - y0, 1), math.inf) * 1.001
 
+    def lookup(cells: DataFrame) -> DataFrame:
+        # There are never more cells than places.
+        return F.broadcast(cells) if box["n"] <= broadcast_rows else cells
+
     own = Window.partitionBy("px", "py")
     # Partitioned by point once; broadcast joins and the windows below keep it that way.
     near = (points.select(F.col("x").alias("px"), F.col("y").alias("py")).repartition("px", "py")
@@ -77,19 +81,17 @@ def snap_nearest(points: DataFrame, places: DataFrame) -> DataFrame:
                       F.min("y").alias("ly"), F.max("y").alias("hy"),
                       F.min(_cell(F.col("x"), x0, coarser)).alias("px_cell"),
                       F.min(_cell(F.col("y"), y0, coarser)).alias("py_cell")))
-        cells = broadcast_if_small(cells, sized_by=places)
         coarse = near.withColumnsRenamed({"cx": "up_x", "cy": "up_y"})
-        joined = coarse.join(cells, (F.col("up_x") == F.col("px_cell")) & (F.col("up_y") == F.col("py_cell")))
+        joined = coarse.join(lookup(cells), (F.col("up_x") == F.col("px_cell")) & (F.col("up_y") == F.col("py_cell")))
         gx, gy = gap_to_range(F.col("px"), F.col("lx"), F.col("hx")), gap_to_range(F.col("py"), F.col("ly"), F.col("hy"))
         rx, ry = reach_over_range(F.col("px"), F.col("lx"), F.col("hx")), reach_over_range(F.col("py"), F.col("ly"), F.col("hy"))
         near = (joined.withColumn("at_least", gx * gx + gy * gy)
                 .withColumn("surely", F.min(rx * rx + ry * ry).over(own))
                 .filter("at_least <= surely").select("px", "py", "cx", "cy"))
         coarser = size
-    leaves = broadcast_if_small(
+    leaves = lookup(
         places.select("node_id", F.col("x").alias("nx"), F.col("y").alias("ny"),
-                      _cell(F.col("x"), x0, coarser).alias("cx"), _cell(F.col("y"), y0, coarser).alias("cy")),
-        sized_by=places)
+                      _cell(F.col("x"), x0, coarser).alias("cx"), _cell(F.col("y"), y0, coarser).alias("cy")))
     d2 = squared_distance(F.col("px"), F.col("py"), F.col("nx"), F.col("ny"))
     best = (near.join(leaves, ["cx", "cy"]).groupBy("px", "py")
             .agg(F.min(F.struct(d2.alias("d2"), "node_id")).alias("best")))

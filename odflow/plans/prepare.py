@@ -12,7 +12,7 @@ from odflow.operators import pooled
 from odflow.operators.gateways import match_gateway
 from odflow.operators.snap import routable_nodes, snap_nearest
 from odflow.plans.views import ViewSpec
-from odflow.runtime import BROADCAST_ROWS, broadcast_if_small
+from odflow.runtime import BROADCAST_ROWS, broadcast_if_small, checkpointed
 
 # The city's municipality, its neighbours, and the intersection for "outside".
 CITY_MUN = 69
@@ -53,11 +53,12 @@ def snapped_places(intersections: DataFrame, nodes: DataFrame, links: DataFrame)
     """Every intersection with its nearest routable node: (int_id, x, y, node).
 
     Intersections are snapped, not trips: there are a few thousand of them however many trips.
+    The table is kept, because both ends of the trips are looked up in it.
     """
-    nearest = snap_nearest(intersections, routable_nodes(nodes, links))
-    return (intersections.select("int_id", "x", "y")
-            .join(nearest.select("x", "y", F.col("node_id").alias("node")), ["x", "y"], "left")
-            .select("int_id", "x", "y", "node"))
+    places = checkpointed(routable_nodes(nodes, links))
+    nearest = snap_nearest(intersections, places).select("x", "y", F.col("node_id").alias("node"))
+    return checkpointed(intersections.select("int_id", "x", "y").join(nearest, ["x", "y"], "left")
+                        .select("int_id", "x", "y", "node"))
 
 
 def place_ends(trips: DataFrame, inputs: TripInputs, spec: ViewSpec,
@@ -68,7 +69,7 @@ def place_ends(trips: DataFrame, inputs: TripInputs, spec: ViewSpec,
     keeps a NULL node.
     """
     places = broadcast_if_small(snapped_places(inputs.intersections, inputs.nodes, inputs.links),
-                                sized_by=inputs.intersections, max_rows=broadcast_rows)
+                                max_rows=broadcast_rows)
     orig = places.select(F.col("int_id").alias("pickup_gc_intersection_id"), F.col("x").alias("ox"),
                          F.col("y").alias("oy"), F.col("node").alias("source"))
     dest = places.select(F.col("int_id").alias("dropoff_gc_intersection_id"), F.col("x").alias("dx"),
@@ -85,8 +86,9 @@ def place_ends(trips: DataFrame, inputs: TripInputs, spec: ViewSpec,
             "target": F.when(F.col("dropoff_mun_id") == CITY_MUN, F.col("target")),
         })
     if spec.gateways:
-        placed = match_gateway(placed, inputs.gateways, "outbound", "dropoff_mun_id", "ox", "oy", "gate_out")
-        placed = match_gateway(placed, inputs.gateways, "inbound", "pickup_mun_id", "dx", "dy", "gate_in")
+        gateways = checkpointed(inputs.gateways)
+        placed = match_gateway(placed, gateways, "outbound", "dropoff_mun_id", "ox", "oy", "gate_out")
+        placed = match_gateway(placed, gateways, "inbound", "pickup_mun_id", "dx", "dy", "gate_in")
         placed = placed.withColumns({
             "source": F.coalesce("gate_in", "source"),
             "target": F.coalesce("gate_out", "target"),
