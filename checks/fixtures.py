@@ -6,6 +6,8 @@ sides of a check start from the same rows. Everything is whole-number arithmetic
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -156,9 +158,9 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stepped.filter(EDGE_WHERE).selectExpr(*_as_exprs(EDGES))
 
 
-def _cost(profile: Column) -> Column:
+def _cost(profile: Column, edge: Callable[[str], Column]) -> Column:
     """COST as a column expression."""
-    return F.col("base") + (F.col("id") * 31 + profile * 17) % 500
+    return edge("base") + (edge("id") * 31 + profile * 17) % 500
 
 
 def network(spark: SparkSession, sf_dir: str) -> TimedNetwork:

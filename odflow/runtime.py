@@ -47,10 +47,9 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 @contextmanager
 def session_conf(spark: SparkSession, **settings: str) -> Iterator[None]:
-    """Set SQL options (dots written as double underscores) and put them back."""
-    names = {name.replace("__", "."): value for name, value in settings.items()}
-    before = {name: spark.conf.get(name, None) for name in names}
-    for name, value in names.items():
+    """Set SQL options for a while and put them back as they were."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
         spark.conf.set(name, value)
     try:
         yield

@@ -22,35 +22,41 @@ class TimedNetwork:
     a network costed by time of day is searched for at most 288 profiles however many
     days are routed.
 
-    With ``cost`` the edges are static and the cost is a column expression over the
-    edge columns and the profile; nothing the size of edges x bins is ever stored.
+    With ``cost`` the edges are static and ``cost(profile, edge)`` is a column expression,
+    where ``edge(name)`` is a column of the edge; nothing the size of edges x bins is stored.
     Without it the edge table carries ``profile`` and ``cost`` columns itself.
     """
 
     edges: DataFrame
     profile: Callable[[Column], Column] = lambda bin_start: bin_start
-    cost: Callable[[Column], Column] | None = None
+    cost: Callable[[Column, Callable[[str], Column]], Column] | None = None
 
     @classmethod
     def from_table(cls, costed: DataFrame) -> TimedNetwork:
         """A table (bin_start, id, source, target, cost) with one snapshot per bin."""
         return cls(costed.withColumnRenamed("bin_start", "profile"))
 
-    def leaving(self, frontier: DataFrame, node: str) -> DataFrame:
-        """``frontier`` joined to the usable edges that leave its ``node``.
+    def leaving(self, at: DataFrame, node: str) -> DataFrame:
+        """``at`` joined to the usable edges that leave its ``node``: adds id, target and cost."""
+        return self._joined(at, node, "source", "target")
 
-        Adds id, target and cost. An edge with a negative or missing cost is closed.
-        """
+    def entering(self, at: DataFrame, node: str) -> DataFrame:
+        """``at`` joined to the usable edges that enter its ``node``: adds id, source and cost."""
+        return self._joined(at, node, "target", "source")
+
+    def _joined(self, at: DataFrame, node: str, near: str, far: str) -> DataFrame:
+        # An edge with a negative or missing cost is closed. Edge columns get a prefix, since
+        # what they are joined to may have a source and a target of its own.
+        edges = self.edges.select(*[F.col(name).alias(f"edge_{name}") for name in self.edges.columns])
+        on = F.col(node) == F.col(f"edge_{near}")
         if self.cost is None:
-            edges = self.edges.select(F.col("profile").alias("_profile"), F.col("source").alias("_from"),
-                                      "id", "target", "cost")
-            on = (F.col("profile") == F.col("_profile")) & (F.col(node) == F.col("_from"))
-            joined = frontier.join(edges, on).drop("_profile", "_from")
+            joined = at.join(edges, on & (F.col("profile") == F.col("edge_profile")))
+            cost = F.col("edge_cost")
         else:
-            edges = self.edges.withColumnRenamed("source", "_from")
-            joined = (frontier.join(edges, F.col(node) == F.col("_from"))
-                      .withColumn("cost", self.cost(F.col("profile"))).drop("_from"))
-        return joined.filter("cost >= 0")
+            joined = at.join(edges, on)
+            cost = self.cost(F.col("profile"), lambda name: F.col(f"edge_{name}"))
+        return joined.select(*at.columns, F.col("edge_id"), F.col(f"edge_{far}"),
+                             cost.alias("edge_cost")).filter("edge_cost >= 0")
 
     def for_days(self, days: list[DayRange]) -> DataFrame:
         """The costed edges of every bin of the days: (bin_start, id, source, target, cost)."""
@@ -58,5 +64,5 @@ class TimedNetwork:
             keyed = bins_of(self.edges.sparkSession, days).withColumn("profile", self.profile(F.col("bin_start")))
             return keyed.join(self.edges, "profile").select("bin_start", *EDGE_COLUMNS)
         return (self.edges.withColumn("bin_start", F.explode(bin_starts(days)))
-                .withColumn("cost", self.cost(self.profile(F.col("bin_start"))))
+                .withColumn("cost", self.cost(self.profile(F.col("bin_start")), F.col))
                 .select("bin_start", *EDGE_COLUMNS))
