@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timedelta
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BIN_MINUTES = 5
+BINS_PER_DAY = 24 * 60 // BIN_MINUTES
 
 # (first day, day after the last)
 DayRange = tuple[date, date]
@@ -37,11 +38,17 @@ def step_of_day(bin_start: Column) -> Column:
 
 
 def bin_starts(days: list[DayRange]) -> Column:
-    """All bin starts of the ranges as one array; 288 a day."""
-    step = F.expr(f"INTERVAL '{BIN_MINUTES}' MINUTE")
-    runs = [F.sequence(_midnight(first), _midnight(after) - step, step)
-            for first, after in days if after - first > timedelta(0)]
-    return F.concat(*runs)
+    """All bin starts of the ranges as one array; 288 a day, whatever the clocks do.
+
+    Bins are counted off from midnight: a sequence of timestamps would follow the session
+    time zone and skip an hour when clocks change.
+    """
+    def run(first: date, after: date) -> Column:
+        count = (after - first).days * BINS_PER_DAY
+        steps = F.sequence(F.lit(0), F.lit(count - 1))
+        return F.transform(steps, lambda step: _midnight(first) + F.make_dt_interval(mins=step * BIN_MINUTES))
+
+    return F.concat(*[run(first, after) for first, after in days if after > first])
 
 
 def bins_of(spark: SparkSession, days: list[DayRange]) -> DataFrame:
