@@ -29,16 +29,22 @@ def _eligible(d2: Column, short_long: Column) -> Column:
     return (near & (short_long == SHORTER)) | (~near & (short_long == LONGER))
 
 
+def is_short(gateways: DataFrame) -> bool:
+    """Whether a gateway table is small enough to be kept in lists."""
+    return gateways.limit(LIST_ROWS + 1).count() <= LIST_ROWS
+
+
 def match_gateway(trips: DataFrame, gateways: DataFrame, direction: str,
-                  mun: str, x: str, y: str, out: str) -> DataFrame:
+                  mun: str, x: str, y: str, out: str, short: bool | None = None) -> DataFrame:
     """Add column ``out``: the gateway node for municipality ``mun`` seen from (x, y), or NULL.
 
     The usual gateway table is tiny: each municipality's gateways are joined as one list and
     the choice is a column expression, so trips are not shuffled. A table too large for
-    that is matched once per distinct (municipality, place) instead.
+    that is matched once per distinct (municipality, place) instead. ``short`` passes on a
+    size check that was already made.
     """
     usable = _open_for(gateways, direction)
-    if gateways.limit(LIST_ROWS + 1).count() > LIST_ROWS:
+    if not (is_short(gateways) if short is None else short):
         return _match_by_place(trips, usable, mun, x, y, out)
     lists = usable.groupBy(F.col("mun_id").alias("_mun")).agg(
         F.collect_list(F.struct("node_id", "x", "y", "short_long")).alias("_gates"))

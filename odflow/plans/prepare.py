@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from odflow.functions.bins import DayRange, in_days
 from odflow.operators import pooled
-from odflow.operators.gateways import match_gateway
+from odflow.operators.gateways import is_short, match_gateway
 from odflow.operators.snap import routable_nodes, snap_nearest
 from odflow.plans.views import ViewSpec
 from odflow.runtime import BROADCAST_ROWS, broadcast_if_small, checkpointed
@@ -86,9 +86,9 @@ def place_ends(trips: DataFrame, inputs: TripInputs, spec: ViewSpec,
             "target": F.when(F.col("dropoff_mun_id") == CITY_MUN, F.col("target")),
         })
     if spec.gateways:
-        gateways = checkpointed(inputs.gateways)
-        placed = match_gateway(placed, gateways, "outbound", "dropoff_mun_id", "ox", "oy", "gate_out")
-        placed = match_gateway(placed, gateways, "inbound", "pickup_mun_id", "dx", "dy", "gate_in")
+        short = is_short(inputs.gateways)
+        placed = match_gateway(placed, inputs.gateways, "outbound", "dropoff_mun_id", "ox", "oy", "gate_out", short)
+        placed = match_gateway(placed, inputs.gateways, "inbound", "pickup_mun_id", "dx", "dy", "gate_in", short)
         placed = placed.withColumns({
             "source": F.coalesce("gate_in", "source"),
             "target": F.coalesce("gate_out", "target"),

@@ -63,6 +63,8 @@ class TimedNetwork:
         if self.cost is None:
             keyed = bins_of(self.edges.sparkSession, days).withColumn("profile", self.profile(F.col("bin_start")))
             return keyed.join(self.edges, "profile").select("bin_start", *EDGE_COLUMNS)
-        return (self.edges.withColumn("bin_start", F.explode(bin_starts(days)))
+        # Every edge becomes many rows, so even a small edge table is spread out first.
+        tasks = int(self.edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return (self.edges.repartition(tasks, "id").withColumn("bin_start", F.explode(bin_starts(days)))
                 .withColumn("cost", self.cost(self.profile(F.col("bin_start")), F.col))
                 .select("bin_start", *EDGE_COLUMNS))
