@@ -78,7 +78,7 @@ def place_ends(trips: DataFrame, inputs: TripInputs, spec: ViewSpec,
               .withColumns({"has_orig": F.col("ox").isNotNull(), "has_dest": F.col("dx").isNotNull()}))
     if spec.snap == "all":
         # With no candidate node at all there is nothing to snap to, and no trip is kept.
-        if routable_nodes(inputs.nodes, inputs.links).isEmpty():
+        if places.filter("node IS NOT NULL").isEmpty() and routable_nodes(inputs.nodes, inputs.links).isEmpty():
             placed = placed.limit(0)
     else:
         placed = placed.withColumns({
