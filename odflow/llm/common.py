@@ -27,6 +27,11 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
+def packed(docs: DataFrame, but: tuple[str, ...] = ()) -> Column:
+    """A row of ``docs`` as the struct ``row``, so that no working column can clash with its columns."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in but]).alias("row")
+
+
 def id_remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus``; NULL without an id."""
     return F.crc32(doc_id.cast("string")) % modulus

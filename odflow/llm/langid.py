@@ -13,10 +13,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from odflow.llm.common import hashed_ngrams
+from odflow.llm.common import hashed_ngrams, packed
 
 ORDERS = (1, 2, 3)
 BITS = 15
@@ -99,6 +99,18 @@ def identify(docs: DataFrame, model: LangModel) -> DataFrame:
     The text alone decides. NULL text, a text without a letter, and any text under a model that
     learned nothing get ``und`` with score 0. Columns of ``docs`` named like the two are replaced.
     """
+    row = packed(docs, but=("lang_pred", "score"))
+    return docs.select(row, _prediction(docs, model)).select("row.*", "found.lang_pred", "found.score")
+
+
+def known(docs: DataFrame, model: LangModel, min_score: float) -> DataFrame:
+    """The rows of ``docs`` whose language is not ``und`` and has a score of ``min_score`` or more."""
+    found = docs.select(packed(docs), _prediction(docs, model))
+    return found.filter((F.col("found.lang_pred") != UNKNOWN) & (F.col("found.score") >= min_score)).select("row.*")
+
+
+def _prediction(docs: DataFrame, model: LangModel) -> Column:
+    """The struct ``found`` (lang_pred, score) of a text."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("struct<lang_pred string, score double>")
@@ -107,10 +119,7 @@ def identify(docs: DataFrame, model: LangModel) -> DataFrame:
         found = [(UNKNOWN, 0.0) if text is None else score_text(text, model) for text in texts]
         return pd.DataFrame(found, columns=["lang_pred", "score"])
 
-    columns = [F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score")]
     if not model.langs:
-        return docs.select(*columns, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return F.struct(F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score")).alias("found")
     # Texts without a letter reach the function as NULL.
-    lettered = F.when(F.col("text").rlike(r"\p{L}"), F.col("text"))
-    return (docs.select(*columns, predict(lettered).alias("_found"))
-            .select(*columns, "_found.lang_pred", "_found.score"))
+    return predict(F.when(F.col("text").rlike(r"\p{L}"), F.col("text"))).alias("found")

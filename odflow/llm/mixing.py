@@ -18,6 +18,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from odflow.llm.common import packed
 from odflow.runtime import checkpointed
 
 PERIOD = 1024
@@ -141,11 +142,9 @@ def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_r
     Within a source rows go by a hash of their id. Fully equal rows share one place in the order.
     Only ids and hashes are numbered; texts move twice, to meet their position and into order.
     """
-    columns = docs.columns
-    content = F.xxhash64(*[F.col(f"`{c}`") for c in columns])
-    keyed = docs.withColumn("_key", content)
-    places = (schedule(keyed.select("source", "doc_id", "_key"), ["_key", "doc_id"], weights, block_rows, period)
-              .groupBy(F.col("_key").alias("p_key"), F.col("doc_id").alias("p_id"))
-              .agg(F.min("position").alias("_position")))
-    same = (F.col("_key") == F.col("p_key")) & F.col("doc_id").eqNullSafe(F.col("p_id"))
-    return keyed.join(places, same, "left").orderBy("_position").select(*[F.col(f"`{c}`") for c in columns])
+    keyed = docs.select(packed(docs), "source", "doc_id", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("key"))
+    places = (schedule(keyed.drop("row"), ["key", "doc_id"], weights, block_rows, period)
+              .groupBy(F.col("key").alias("p_key"), F.col("doc_id").alias("p_id"))
+              .agg(F.min("position").alias("position")))
+    same = (F.col("key") == F.col("p_key")) & F.col("doc_id").eqNullSafe(F.col("p_id"))
+    return keyed.select("row", "doc_id", "key").join(places, same, "left").orderBy("position").select("row.*")

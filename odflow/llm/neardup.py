@@ -25,6 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from odflow.llm.common import packed
 from odflow.runtime import checkpointed
 
 SHINGLE_WORDS = 5
@@ -415,6 +416,6 @@ def deduplicate(docs: DataFrame, percent: int = 85, shape: Signatures = Signatur
     stay = stay.select("first.key_id", "first.key_text").unionByName(
         found.documents.filter("node IS NULL").select("key_id", "key_text").distinct())
     copies = Window.partitionBy("key_id", "key_text").orderBy("key_id")
-    return (_keyed(docs).join(stay, ["key_id", "key_text"], "left_semi")
-            .withColumn("_copy", F.row_number().over(copies)).filter("_copy = 1")
-            .select(*[F.col(f"`{c}`") for c in docs.columns]))
+    rows = docs.select(packed(docs), F.coalesce("doc_id", F.lit(NO_ID)).alias("key_id"), F.xxhash64("text").alias("key_text"))
+    return (rows.join(stay, ["key_id", "key_text"], "left_semi").withColumn("copy", F.row_number().over(copies))
+            .filter("copy = 1").select("row.*"))

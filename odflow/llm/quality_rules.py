@@ -13,6 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from odflow.llm.common import packed
+
 # White space between words, and the symbols that are counted.
 SPACES = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -92,10 +94,8 @@ def measure(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     """
     new = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_failed_lines", "clean_text",
            "base_failed", "kept"]
-    names = [c for c in docs.columns if c not in new]
-    columns = [F.col(f"`{c}`") for c in names]
     text = F.coalesce("text", F.lit(""))
-    split = docs.select(*columns, text.alias("_text"), _words(text).alias("_words"),
+    split = docs.select(packed(docs, but=(*new, "text")), F.col("text").alias("_original"), text.alias("_text"), _words(text).alias("_words"),
                         F.filter(F.split(text, "\n"), lambda line: line.rlike(WORD)).alias("_lines"))
     judged = split.withColumns({
         "_bad": F.filter("_lines", lambda line: failing(line, rules)),
@@ -112,7 +112,8 @@ def measure(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     enough = F.col("word_chars") - lost >= F.col("word_chars") * rules.min_kept
     return (judged.withColumns({"n_failed_lines": F.size("_bad").cast("long"), "clean_text": clean,
                                 "base_failed": base_failed, "kept": ~base_failed & enough})
-            .select(*columns, *new))
+            .select(*[F.col("_original").alias(c) if c == "text" else F.col(f"row.`{c}`")
+                      for c in docs.columns if c not in new], *new))
 
 
 def clean(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:

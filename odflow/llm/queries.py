@@ -77,8 +77,8 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_register("op7_mix_sources")
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys = table(spark, sf_dir, "documents").select("doc_id", "source").withColumn("_key", F.xxhash64("doc_id"))
-    return mixing.schedule(keys, ["_key", "doc_id"]).select("doc_id", "source", "rank", "block", "slot", "position")
+    keys = table(spark, sf_dir, "documents").select("doc_id", "source").withColumn("key", F.xxhash64("doc_id"))
+    return mixing.schedule(keys, ["key", "doc_id"]).select("doc_id", "source", "rank", "block", "slot", "position")
 
 
 @_register("op8_sentencepiece")

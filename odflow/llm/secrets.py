@@ -18,6 +18,8 @@ from re import _parser as parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from odflow.llm.common import packed
+
 # A query over trigrams: a list of alternatives, each a set of trigrams that are all needed.
 Query = tuple[frozenset[str], ...]
 ANYTHING: Query = (frozenset(),)
@@ -160,11 +162,10 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     Offsets count code points, ends are exclusive. NULL text is empty. Spans of different rules may
     overlap. Repeated rows are each scanned; a column of ``docs`` named secrets is replaced.
     """
-    columns = [F.col(f"`{c}`") for c in docs.columns if c != "secrets"]
     # A row's key in the index: equal keys can only add a search, so a collision does no harm. The id is in it
     # so that copies of a text spread over the partitions.
     key = F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns if c in ("doc_id", "text")])
-    keyed = docs.select(*columns, key.alias("_key"))
+    keyed = docs.select(packed(docs, but=("secrets",)), key.alias("_key"))
     indexed = tuple(rule for rule in rules if trigram_query(rule.pattern) != ANYTHING)
     if indexed:
         keyed = keyed.join(candidates(docs.select(key.alias("_key"), "text"), indexed)
@@ -174,13 +175,11 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     nothing = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
     parts = []
     for rank, rule in enumerate(rules):
-        searched = F.col("text").rlike(rule.pattern)
+        searched = F.col("row.text").rlike(rule.pattern)
         if rule in indexed:
-            searched = F.array_contains("_kinds", rule.kind)
-        parts.append(F.when(searched, _spans(F.col("text"), rule, rank)).otherwise(nothing))
-    kinds_found = F.coalesce("kinds", F.array().cast("array<string>"))
-    return (keyed.select(*columns, kinds_found.alias("_kinds"))
-            .select(*columns, F.sort_array(F.concat(*parts)).alias("secrets")))
+            searched = F.array_contains("kinds", rule.kind)
+        parts.append(F.when(searched, _spans(F.col("row.text"), rule, rank)).otherwise(nothing))
+    return keyed.select("row.*", F.sort_array(F.concat(*parts)).alias("secrets"))
 
 
 def span_list(spans: Column) -> Column:
@@ -191,7 +190,7 @@ def span_list(spans: Column) -> Column:
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
     """``docs`` with each secret in ``text`` replaced by ``mark`` and ``n_chars`` counted anew where that was done.
 
-    Overlapping spans are replaced as one. All rows and columns stay.
+    Overlapping spans are replaced as one. All rows and columns stay, but for a column named secrets.
     """
     def step(state: Column, span: Column) -> Column:
         inside = span["start"] < state["at"]
@@ -203,8 +202,9 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
         return F.concat(state["out"], F.substring(F.col("text"), state["at"] + 1, F.length("text")))
 
     scanned = scan(docs, rules)
+    found = F.size("secrets") > 0
     clean = F.aggregate("secrets", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, finish)
-    out = scanned.withColumn("text", F.when(F.size("secrets") > 0, clean).otherwise(F.col("text")))
+    out = scanned.withColumn("text", F.when(found, clean).otherwise(F.col("text")))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("secrets") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(found, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from odflow.llm.common import packed
+
 MARK = "▁"
 # Segments remembered per Python worker, and rows turned into one batch of output.
 CACHE_SEGMENTS = 400_000
@@ -170,7 +172,6 @@ def encode(docs: DataFrame, model: PieceModel, text: str = "text") -> DataFrame:
     empty text no ids. Columns of ``docs`` with these names are replaced. No row moves.
     """
     held = docs.sparkSession.sparkContext.broadcast(model)
-    columns = [c for c in docs.columns if c not in ("ids", "n_tokens", "round_trip")]
 
     @F.arrow_udf("struct<ids array<int>, n_tokens int, round_trip boolean>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -181,8 +182,8 @@ def encode(docs: DataFrame, model: PieceModel, text: str = "text") -> DataFrame:
                 parts.append(_encode_rows(batch.slice(at, ROWS_OUT).to_pylist(), model))
             yield pa.concat_arrays(parts) if parts else _encode_rows([], model)
 
-    return (docs.select(*[F.col(f"`{c}`") for c in columns], run(F.col(f"`{text}`")).alias("_coded"))
-            .select(*[F.col(f"`{c}`") for c in columns], "_coded.*"))
+    row = packed(docs, but=("ids", "n_tokens", "round_trip"))
+    return docs.select(row, run(F.col(f"`{text}`")).alias("coded")).select("row.*", "coded.*")
 
 
 def _encode_rows(texts: list[str | None], model: PieceModel) -> pa.StructArray:
