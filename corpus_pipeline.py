@@ -18,10 +18,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
     Texts without a letter, NULL ones included, are rejected.
     """
-    model = langid.train(docs)
-    found = langid.identify(docs.withColumnsRenamed({c: f"doc_{c}" for c in docs.columns if c in ("score", "lang_pred")}), model)
-    kept = found.filter((found["lang_pred"] != langid.UNKNOWN) & (found["score"] >= MIN_LANGUAGE_SCORE))
-    return kept.drop("lang_pred", "score").toDF(*docs.columns)
+    return langid.known(docs, langid.train(docs), MIN_LANGUAGE_SCORE)
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
