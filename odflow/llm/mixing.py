@@ -113,26 +113,28 @@ def schedule(keys: DataFrame, order: list[str], weights: dict[str | None, float]
     weights those of ``tempered_weights`` are taken. A source the weights do not name is an error,
     since its rows would have no slot; names without rows are no matter. Every row appears once.
     """
-    weights = tempered_weights(keys) if weights is None else weights
+    sizes = tempered_weights(keys)
+    weights = sizes if weights is None else weights
+    if unnamed := [name for name in sizes if name not in weights]:
+        raise ValueError(f"no weight for source {unnamed[0]}")
     if any(not weight > 0 for weight in weights.values()):
         raise ValueError("weights are positive")
     slots, period = quantised(weights, period)
-    pattern = [(name, block, slot, slots[name]) for slot, name, block in pfair(slots, period)]
+    pattern = [(name, block, slot) for slot, name, block in pfair(slots, period)]
     spark = keys.sparkSession
-    table = spark.createDataFrame(pattern, "p_source string, p_block long, p_slot long, per_period long")
+    table = spark.createDataFrame(pattern, "p_source string, p_block long, p_slot long")
     ranked = numbered(keys, order).withColumn("block", F.floor(F.col("rank") / block_rows))
     per = spark.createDataFrame(sorted(slots.items(), key=str), "w_source string, w_slots long")
     # Both tables are as large as the period and the number of sources, which are checked above.
-    paced = ranked.join(F.broadcast(per), F.col("source").eqNullSafe(F.col("w_source")), "left")
-    paced = paced.withColumn("_round", F.call_function("div", F.col("block"), F.coalesce("w_slots", F.raise_error(
-        F.concat(F.lit("no weight for source "), F.coalesce("source", F.lit("NULL")))).cast("long"))))
-    paced = paced.withColumn("_in_round", F.col("block") - F.col("_round") * F.col("w_slots"))
+    paced = ranked.join(F.broadcast(per), F.col("source").eqNullSafe(F.col("w_source")))
+    turn = F.call_function("div", F.col("block"), F.col("w_slots"))
+    paced = paced.withColumn("w_turn", turn).withColumn("w_block", F.col("block") % F.col("w_slots"))
     slotted = paced.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("p_source"))
-                         & (F.col("_in_round") == F.col("p_block")))
-    slot = F.col("_round") * period + F.col("p_slot")
+                         & (F.col("w_block") == F.col("p_block")))
+    slot = F.col("w_turn") * period + F.col("p_slot")
     return (slotted.withColumn("slot", slot)
             .withColumn("position", slot * block_rows + F.col("rank") % block_rows)
-            .drop("w_source", "w_slots", "_round", "_in_round", "p_source", "p_block", "p_slot", "per_period"))
+            .drop("w_source", "w_slots", "w_turn", "w_block", "p_source", "p_block", "p_slot"))
 
 
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_rows: int = BLOCK_ROWS,

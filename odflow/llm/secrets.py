@@ -128,7 +128,9 @@ def candidates(docs: DataFrame, rules: tuple[Rule, ...], key: str = "_key") -> D
     needs = [(rule.kind, number, trigram, len(need)) for rule in rules
              for number, need in enumerate(trigram_query(rule.pattern)) for trigram in sorted(need)]
     # As small as the rules are: a row per trigram of a query.
-    terms = spark.createDataFrame(needs, "kind string, alternative int, trigram string, need int")
+    terms = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(kind).alias("kind"), F.lit(number).alias("alternative"), F.lit(trigram).alias("trigram"),
+                 F.lit(need).alias("need")) for kind, number, trigram, need in needs])))
     found = postings(docs, sorted({need[2] for need in needs}), key).join(F.broadcast(terms), "trigram")
     # Partitioned by row once; both aggregates follow.
     met = (found.repartition(key).groupBy(key, "kind", "alternative", "need")
