@@ -160,17 +160,11 @@ def query_vertex_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.distinct_vertices(fixtures.vertex_map(spark, sf_dir))
 
 
-@_register("od_batches", """SELECT service_date, bin_start, batch, count(*) AS n_pairs, CAST(sum(source) AS BIGINT) AS
-    source_sum, CAST(sum(target) AS BIGINT) AS target_sum, CAST(sum(source * target) AS BIGINT) AS product_sum FROM (
-    SELECT b.service_date, b.bin_start, dense_rank() OVER (PARTITION BY b.service_date, b.bin_start ORDER BY ptctripid)
-      // 250 AS batch, s.vertex_id AS source, t.vertex_id AS target FROM binned b JOIN vertices s ON s.node_id = b.source
-    JOIN vertices t ON t.node_id = b.target WHERE b.bin_start IS NOT NULL) GROUP BY ALL""")
+@_register("od_batches", """SELECT b.service_date, b.bin_start, dense_rank() OVER (PARTITION BY b.service_date, b.bin_start
+    ORDER BY ptctripid NULLS LAST) // 250 AS batch, b.ptctripid, s.vertex_id AS source, t.vertex_id AS target FROM binned b
+    JOIN vertices s ON s.node_id = b.source JOIN vertices t ON t.node_id = b.target WHERE b.bin_start IS NOT NULL""")
 def query_od_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    batches = routing.od_batches(_prepared(spark, sf_dir), fixtures.vertex_map(spark, sf_dir), DAYS)
-    pairs = batches.select("service_date", "bin_start", "batch", F.inline(F.arrays_zip("sources", "targets")))
-    return pairs.groupBy("service_date", "bin_start", "batch").agg(
-        F.count("*").alias("n_pairs"), F.sum("sources").alias("source_sum"), F.sum("targets").alias("target_sum"),
-        F.sum(F.col("sources") * F.col("targets")).alias("product_sum"))
+    return routing.od_batches(_prepared(spark, sf_dir), fixtures.vertex_map(spark, sf_dir), DAYS)
 
 
 @_register("trips_with_ends", """SELECT service_date, bin_start, mlsassignedptc, ptctripid, trippassengerid, source, target

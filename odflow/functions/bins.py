@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,7 +15,8 @@ DayRange = tuple[date, date]
 
 
 def _midnight(day: date) -> Column:
-    return F.lit(datetime(day.year, day.month, day.day)).cast("timestamp_ntz")
+    # From text: a datetime literal is an instant, which the session time zone would move.
+    return F.lit(f"{day.isoformat()} 00:00:00").cast("timestamp_ntz")
 
 
 def in_days(moment: Column, days: list[DayRange]) -> Column:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,7 +37,14 @@ def dense_rank_in(df: DataFrame, group: list[str], value: str, out: str) -> Data
     earlier = Window.partitionBy(*group).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     counts = values.groupBy(*group, "chunk").count()
     offsets = counts.select(*group, "chunk", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before"))
-    ranks = (values.withColumn("n", F.row_number().over(in_chunk))
-             .join(offsets, [*group, "chunk"])
+    ranks = (_join_nullable(values.withColumn("n", F.row_number().over(in_chunk)), offsets, [*group, "chunk"])
              .select(*group, value, (F.col("before") + F.col("n")).alias(out)))
-    return df.join(ranks, [*group, value])
+    # NULL is a value and has a rank like the others.
+    return _join_nullable(df, ranks, [*group, value])
+
+
+def _join_nullable(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on equal keys, where NULL equals NULL."""
+    right = right.withColumnsRenamed({name: f"key_{name}" for name in keys})
+    same = reduce(and_, [F.col(name).eqNullSafe(F.col(f"key_{name}")) for name in keys])
+    return left.join(right, same).drop(*[f"key_{name}" for name in keys])

@@ -2,22 +2,27 @@
 
 from __future__ import annotations
 
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from odflow.functions.bins import DayRange, bin_of, bins_of, in_days
-from odflow.operators.paths import PAIR, Search, od_pairs, path_rows, search
+from odflow.operators.paths import PAIR, Search, od_pairs, pair_paths, path_rows, search
 from odflow.operators.ranges import dense_rank_in
 from odflow.runtime import broadcast_if_small, checkpointed
 from odflow.sources.network import TimedNetwork
 from odflow.sources.tables import read_prepared, write_audit, write_routed
 
+log = logging.getLogger(__name__)
+
 TRIP = ["mlsassignedptc", "ptctripid", "trippassengerid"]
-# Trip ranks per batch of origins and destinations, and pairs per stored array.
+# Trip ranks per batch of origins and destinations, and arrays per batch.
 BATCH_RANKS = 250
-BATCH_ARRAY_PAIRS = 10_000
+BATCH_PARTS = 8
+# Rows without an end match no path; they are dealt out over this many keys of their own.
+LOOSE_KEYS = 64
 
 OUTCOMES = ["routed", "unreachable", "same_vertex", "no_vertex", "no_node", "outside_bins"]
 
@@ -62,27 +67,30 @@ def trips_with_ends(prepared: DataFrame, vertex_map: DataFrame, network: TimedNe
 
 
 def od_batches(prepared: DataFrame, vertex_map: DataFrame, days: list[DayRange],
-               ranks: int = BATCH_RANKS, array_pairs: int = BATCH_ARRAY_PAIRS) -> DataFrame:
-    """Origins and destinations of each bin as parallel arrays, ``ranks`` trip ids a batch.
+               ranks: int = BATCH_RANKS) -> DataFrame:
+    """Origins and destinations of each bin, ``ranks`` trip ids a batch, one row per pair.
 
-    (service_date, bin_start, batch, part, sources, targets). The router does not need
-    batches; they feed an outside many-to-many solver. A batch is one part unless a busy
-    trip id gives it more pairs than ``array_pairs``; then they are dealt out over parts.
+    (service_date, bin_start, batch, ptctripid, source, target). Trips without an id are ranked
+    last. The router does not need batches; they feed an outside many-to-many solver.
     """
     group = ["service_date", "bin_start"]
     mapped = map_vertices(with_bins(prepared, days).filter("bin_start IS NOT NULL"), vertex_map)
     mapped = checkpointed(mapped.select(*group, "ptctripid", "source", "target"))
     ranked = dense_rank_in(mapped, group, "ptctripid", "trip_rank")
     batch = F.call_function("div", "trip_rank", F.lit(ranks).cast("long"))
-    batched = checkpointed(ranked.select(*group, batch.alias("batch"), "source", "target"))
-    # At most rows / array_pairs batches are this large.
-    large = (batched.groupBy(*group, "batch").count().filter(F.col("count") > array_pairs)
-             .withColumn("parts", F.ceil(F.col("count") / array_pairs)).drop("count"))
-    dealt = (batched.withColumn("n", F.monotonically_increasing_id())
-             .join(broadcast_if_small(large), [*group, "batch"], "left")
-             .withColumn("part", F.coalesce(F.col("n") % F.col("parts"), F.lit(0))))
-    arrays = dealt.groupBy(*group, "batch", "part").agg(F.collect_list(F.struct("source", "target")).alias("pairs"))
-    return arrays.select(*group, "batch", "part", F.col("pairs.source").alias("sources"),
+    return ranked.select(*group, batch.alias("batch"), "ptctripid", "source", "target")
+
+
+def batch_arrays(batches: DataFrame, parts: int = BATCH_PARTS) -> DataFrame:
+    """The pairs of ``od_batches`` as parallel arrays: (service_date, bin_start, batch, part, sources, targets).
+
+    Every batch is dealt out over the same number of parts, by a hash of the pair, so that a trip id
+    with very many pairs fills several arrays; a part without pairs has no row.
+    """
+    part = F.pmod(F.xxhash64("source", "target"), F.lit(parts)).cast("int").alias("part")
+    arrays = (batches.select("service_date", "bin_start", "batch", part, F.struct("source", "target").alias("pair"))
+              .groupBy("service_date", "bin_start", "batch", "part").agg(F.collect_list("pair").alias("pairs")))
+    return arrays.select("service_date", "bin_start", "batch", "part", F.col("pairs.source").alias("sources"),
                          F.col("pairs.target").alias("targets"))
 
 
@@ -101,24 +109,26 @@ class Routing:
         return path_rows(self.result)
 
     def routed(self) -> DataFrame:
-        """Path rows of every trip that has a path."""
-        paths = self.paths().withColumnsRenamed({"start_vid": "source", "end_vid": "target"})
-        return self.trips.join(paths, PAIR).select(
+        """Path rows of every trip that has a path; trips meet one row per pair, which is unfolded afterwards."""
+        return self.trips.join(pair_paths(self.result), PAIR).select(
             "service_date", "bin_start", *TRIP, F.col("source").alias("start_vid"), F.col("target").alias("end_vid"),
-            "path_seq", "node", "edge", "cost", "agg_cost")
+            F.inline("steps"))
 
     def outcomes(self) -> DataFrame:
         """Every prepared row, once per pair of end vertices, and what became of it."""
         binned = with_bins(self.prepared, self.days)
         mapped = (map_vertices(binned, self.vertex_map, "left")
                   .withColumn("profile", self.network.profile(F.col("bin_start"))))
-        found = self.result.found.select(*PAIR, "dist")
+        loose = F.col("bin_start").isNull() | F.col("source").isNull() | F.col("target").isNull()
+        spread = F.when(loose, 1 + F.pmod(F.xxhash64(*TRIP, "pickup_datetime"), F.lit(LOOSE_KEYS))).otherwise(F.lit(0))
+        mapped = mapped.withColumn("spread", spread)
+        found = self.result.found.select(*PAIR, "dist", F.lit(0).cast("long").alias("spread"))
         outcome = (F.when(F.col("bin_start").isNull(), "outside_bins")
                    .when(F.col("source_node").isNull() | F.col("target_node").isNull(), "no_node")
                    .when(F.col("source").isNull() | F.col("target").isNull(), "no_vertex")
                    .when(F.col("source") == F.col("target"), "same_vertex")
                    .when(F.col("dist").isNull(), "unreachable").otherwise("routed"))
-        return mapped.join(found, PAIR, "left").withColumn("outcome", outcome)
+        return mapped.join(found, [*PAIR, "spread"], "left").drop("spread").withColumn("outcome", outcome)
 
     def unrouted(self) -> DataFrame:
         """The rows that yield no path, with the reason."""
@@ -160,19 +170,36 @@ class RouteJob:
     audit_path: str | None = None
 
 
+@dataclass(frozen=True)
+class JobRecord:
+    """What became of a job: ``error`` is None for one that was written."""
+
+    job: RouteJob
+    error: str | None = None
+
+
 def run_job(spark, job: RouteJob, vertex_map: DataFrame, network: TimedNetwork) -> Routing:
-    """Route a prepared table into its destination; a rerun replaces the bins it covers."""
+    """Route a prepared table into its destination; a rerun replaces all bins of the job's days."""
     prepared = read_prepared(spark, job.prepared_path)
-    first, after = min(d[0] for d in job.days), max(d[1] for d in job.days)
-    prepared = prepared.filter((F.col("service_date") >= F.lit(first)) & (F.col("service_date") < F.lit(after)))
+    prepared = prepared.filter(in_days(F.col("service_date").cast("timestamp_ntz"), job.days))
     routing = route_days(prepared, vertex_map, network, job.days)
-    write_routed(routing.routed(), job.routed_path)
+    write_routed(routing.routed(), job.routed_path, job.days)
     if job.audit_path is not None:
-        write_audit(routing.audit(), job.audit_path)
+        write_audit(routing.audit(), job.audit_path, job.days)
     return routing
 
 
-def run_jobs(spark, jobs: list[RouteJob], vertex_map: DataFrame, network: TimedNetwork) -> None:
-    """Several (days, source, destination) jobs in one run; a job holds all its bins."""
+def run_jobs(spark, jobs: list[RouteJob], vertex_map: DataFrame, network: TimedNetwork) -> list[JobRecord]:
+    """Several (days, source, destination) jobs in one run; a job holds all its bins.
+
+    A job that fails does not stop the ones after it; its record has the error.
+    """
+    records = []
     for job in jobs:
-        run_job(spark, job, vertex_map, network)
+        try:
+            run_job(spark, job, vertex_map, network)
+            records.append(JobRecord(job))
+        except Exception as error:
+            log.exception("routing %s into %s failed", job.days, job.routed_path)
+            records.append(JobRecord(job, f"{type(error).__name__}: {error}"))
+    return records

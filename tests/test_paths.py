@@ -7,6 +7,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from odflow.operators import paths
 from odflow.operators.paths import path_rows, search
 from odflow.sources.network import TimedNetwork
 
@@ -111,3 +112,17 @@ def test_cost_rule(spark):
     pairs = spark.createDataFrame([(0, 1, 2), (9, 1, 2)], "profile long, source long, target long")
     assert {(r.profile, r.dist, r.hops) for r in search(pairs, network).found.collect()} == {(0, 2, 2), (9, 10, 1)}
     assert search(pairs, network).found.filter(F.col("dist") < 0).isEmpty()
+
+
+def test_a_long_chain_has_few_runs(spark, monkeypatch):
+    """A path of 60 edges, as of a street network without short cuts."""
+    edges = spark.createDataFrame([(0, k, k, k + 1, 1) for k in range(60)], "profile int, id long, source long, target long, cost long")
+    pairs = spark.createDataFrame([(0, 0, 60), (0, 5, 7), (0, 3, 0), (0, 0, 99), (0, 99, 3)], "profile int, source long, target long")
+    made = []
+    add = paths._add_run
+    monkeypatch.setattr(paths, "_add_run", lambda runs, *rest: (add(runs, *rest), made.append(len(runs))))
+    found = paths.search(pairs, TimedNetwork(edges))
+    assert max(made) <= 5
+    assert {(r.source, r.target): r.dist for r in found.found.collect()} == {(0, 60): 60, (5, 7): 2}
+    steps = {(r.source, r.target): [s.node for s in r.steps] for r in paths.pair_paths(found).collect()}
+    assert steps == {(0, 60): list(range(61)), (5, 7): [5, 6, 7]}

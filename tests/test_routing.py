@@ -2,11 +2,13 @@
 
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from odflow import RouteJob, TimedNetwork, run_jobs
-from odflow.functions.bins import bins_of, step_of_day
-from odflow.plans.routing import od_batches, with_bins
+from odflow.functions.bins import bins_of, in_days, step_of_day
+from odflow.plans.routing import batch_arrays, od_batches, with_bins
+from odflow.runtime import session_conf
 from odflow.sources.tables import read_routed, write_prepared
 
 DAY = [(date(2018, 9, 13), date(2018, 9, 14))]
@@ -78,12 +80,72 @@ def test_run_twice(spark, tmp_path):
 
 def test_batches(spark):
     rows = [row(f"t{i:04d}", "1", at(8, 0), 1, 3) for i in range(501)] + [row("t0400", str(i), at(8, 0), 1, 3) for i in range(40)]
+    rows += [row(None, str(i), at(8, 0), 1, 3) for i in range(3)]
     prepared = spark.createDataFrame(rows, PREPARED)
-    vertices = tables(spark)[1]
-    whole = {(r.batch, r.part): len(r.sources) for r in od_batches(prepared, vertices, DAY).collect()}
-    # Ranks start at 1, so the first batch has 249 trip ids.
-    assert whole == {(0, 0): 249, (1, 0): 290, (2, 0): 2}
-    parts = od_batches(prepared, vertices, DAY, array_pairs=260).collect()
-    assert {r.batch: sum(len(p.targets) for p in parts if p.batch == r.batch) for r in parts} == {0: 249, 1: 290, 2: 2}
-    assert max(len(r.sources) for r in parts) <= 260
-    assert all(s == 10 and t == 30 for r in parts for s, t in zip(r.sources, r.targets))
+    pairs = od_batches(prepared, tables(spark)[1], DAY)
+    # Ranks start at 1, so the first batch has 249 trip ids; trips without an id share the last rank.
+    assert {r.batch: r["count"] for r in pairs.groupBy("batch").count().collect()} == {0: 249, 1: 290, 2: 5}
+    assert pairs.filter("ptctripid IS NULL").count() == 3
+    arrays = batch_arrays(pairs).collect()
+    assert sum(len(r.sources) for r in arrays) == 544
+    assert all(s == 10 and t == 30 for r in arrays for s, t in zip(r.sources, r.targets, strict=True))
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Toronto", "Asia/Tokyo"])
+def test_days_and_bins_do_not_move_with_the_session_zone(spark, zone):
+    moments = [at(0, 0), at(0, 4, 59), at(23, 55), at(23, 59, 59), at(23, 59, 59, day=12), at(0, 0, day=14)]
+    prepared = spark.createDataFrame([row(str(k), "1", when, 1, 3) for k, when in enumerate(moments)], PREPARED)
+    with session_conf(spark, **{"spark.sql.session.timeZone": zone}):
+        assert prepared.filter(in_days(F.col("pickup_datetime"), DAY)).count() == 4
+        binned = with_bins(prepared, DAY).orderBy("ptctripid").collect()
+        assert [r.bin_start for r in binned] == [at(0, 0), at(0, 0), at(23, 55), at(23, 55), None, None]
+        bins = bins_of(spark, DAY).agg(F.min("bin_start"), F.max("bin_start"), F.countDistinct("service_date")).first()
+        assert tuple(bins) == (at(0, 0), at(23, 55), 1)
+
+
+def test_a_rerun_empties_bins_that_have_no_rows_now(spark, tmp_path):
+    prepared, vertices, network = tables(spark)
+    source, routed = str(tmp_path / "prepared"), str(tmp_path / "routed")
+    other = spark.createDataFrame([(date(2018, 9, 14), "u", "z", "1", at(8, 0, day=14), 1, 3)], PREPARED)
+    write_prepared(prepared.unionByName(other), source)
+    timed = TimedNetwork(network.edges.filter("profile = TIMESTAMP_NTZ'2018-09-13 08:00:00'").drop("profile")
+                         .withColumn("profile", F.lit(0)), profile=lambda bin_start: F.lit(0))
+    both = [(date(2018, 9, 13), date(2018, 9, 15))]
+    run_jobs(spark, [RouteJob(both, source, routed)], vertices, timed)
+    before = {r.bin_start for r in read_routed(spark, routed).select("bin_start").distinct().collect()}
+    assert before == {at(8, 0), at(8, 5), at(8, 0, day=14)}
+    write_prepared(prepared.filter("ptctripid <> 'b'"), source, DAY)
+    run_jobs(spark, [RouteJob(DAY, source, routed)], vertices, timed)
+    assert {r.bin_start for r in read_routed(spark, routed).select("bin_start").distinct().collect()} == before - {at(8, 5)}
+    write_prepared(prepared.limit(0), source, both)
+    assert not list((tmp_path / "prepared").glob("service_date=*"))
+
+
+def test_days_in_a_gap_are_left_alone(spark, tmp_path):
+    _, vertices, network = tables(spark)
+    rows = [(date(2018, 9, day), "u", "a", "1", at(8, 0, day=day), 1, 3) for day in (13, 14, 15)]
+    source, routed, audit = (str(tmp_path / name) for name in ("prepared", "routed", "audit"))
+    write_prepared(spark.createDataFrame(rows, PREPARED), source)
+    days = [(date(2018, 9, 13), date(2018, 9, 14)), (date(2018, 9, 15), date(2018, 9, 16))]
+    run_jobs(spark, [RouteJob(days, source, routed, audit)], vertices, network)
+    assert {str(r.service_date) for r in spark.read.parquet(audit).select("service_date").distinct().collect()} == {
+        "2018-09-13", "2018-09-15"}
+
+
+def test_a_failed_job_is_recorded_and_the_others_run(spark, tmp_path):
+    prepared, vertices, network = tables(spark)
+    source, routed = str(tmp_path / "prepared"), str(tmp_path / "routed")
+    write_prepared(prepared, source)
+    records = run_jobs(spark, [RouteJob(DAY, str(tmp_path / "missing"), routed), RouteJob(DAY, source, routed)], vertices, network)
+    assert [record.error is None for record in records] == [False, True] and "missing" in records[0].error
+    assert read_routed(spark, routed).count() > 0
+
+
+def test_few_files_in_order(spark, tmp_path):
+    rows = [row(f"t{k:04d}", "1", at(8, k % 10), 1, 3) for k in range(400)]
+    prepared = spark.createDataFrame(rows, PREPARED).repartition(16)
+    write_prepared(prepared, str(tmp_path / "prepared"))
+    files = list((tmp_path / "prepared").glob("service_date=*/part-*"))
+    assert len(files) == 1
+    ids = [r.ptctripid for r in spark.read.parquet(str(files[0])).collect()]
+    assert ids == sorted(ids)
