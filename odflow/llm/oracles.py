@@ -109,3 +109,62 @@ TOP_K = """WITH whole AS (SELECT vec_id, list_transform(embedding, lambda x: CAS
       AS score FROM whole q JOIN whole r ON q.vec_id % 100 = 0 AND r.vec_id <> q.vec_id),
   ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
   SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10"""
+
+# The checksum of conversation and turn, bit by bit.
+_CRC = """xor(4294967295, list_reduce(list_transform(range(1, length({key}) + 1), lambda k: CAST(ascii(substr({key}, k, 1)) AS BIGINT)),
+      lambda crc, b: list_reduce(range(8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, xor(crc, b)),
+      4294967295))"""
+# (state, initial of a kept row, state after it), and the state after an inserted or rerolled one.
+_KEEP = "(VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2))"
+_FORCED = "CASE WHEN state = 2 THEN 3 ELSE 2 END"
+# Up to two inserts after each row are enough: a third would come back to a state at a higher cost.
+_INSERTED = f"""SELECT conv, pos, state, cost, audit FROM {{0}} UNION ALL
+      SELECT conv, pos, {_FORCED}, cost + 2, audit || 'I' FROM {{0}} UNION ALL
+      SELECT conv, pos, CASE WHEN state = 2 THEN 2 ELSE 3 END, cost + 4, audit || 'II' FROM {{0}}"""
+
+REPAIR = rf"""WITH RECURSIVE originals AS (SELECT conv_id, coalesce('=' || CAST(conv_id AS VARCHAR), ' ') AS conv, turn,
+      coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' ||
+      coalesce(CAST(turn AS VARCHAR), ' ') AS key FROM conversations),
+  kinds AS (SELECT *, {_CRC.format(key='key')} % 20 AS kind FROM originals),
+  damaged AS (SELECT conv, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role, CASE kind WHEN 1 THEN ''
+      WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text FROM kinds WHERE kind <> 0
+    UNION ALL SELECT conv, turn, role, text FROM kinds WHERE kind = 3),
+  numbered AS (SELECT *, row_number() OVER w AS pos, substr(role, 1, 1) AS initial, lag(substr(role, 1, 1)) OVER w AS before FROM damaged
+      WINDOW w AS (PARTITION BY conv ORDER BY turn NULLS FIRST, role, text)),
+  judged AS MATERIALIZED (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1
+      WHEN row_number() OVER (PARTITION BY conv, role, text ORDER BY pos) > 1 THEN 2
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 3 ELSE 0 END AS fault FROM numbered),
+  counts AS (SELECT conv, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 1) AS blank,
+      count(*) FILTER (fault = 2) AS duplicate, count(*) FILTER (fault = 3) AS truncated,
+      count(*) FILTER (before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, count(*) AS n
+      FROM judged GROUP BY conv),
+  starts AS (SELECT conv, 0 AS pos, 0 AS state, 0 AS cost, '' AS audit FROM counts),
+  -- Cheapest edits up to each row by state, cost and audit as one comparable pair.
+  labels AS (SELECT conv, pos, state, min(struct_pack(cost := cost, audit := audit)) AS best
+      FROM ({_INSERTED.format('starts')}) GROUP BY conv, pos, state
+    UNION ALL SELECT conv, pos, state, min(struct_pack(cost := cost, audit := audit)) AS best FROM (
+      WITH stepped AS (
+        SELECT l.conv, l.pos + 1 AS pos, l.state, l.best.cost + 3 AS cost, l.best.audit || 'D' AS audit FROM labels l
+          JOIN judged j ON j.conv = l.conv AND j.pos = l.pos + 1
+        UNION ALL SELECT l.conv, l.pos + 1, k.next, l.best.cost + CASE WHEN j.fault = 3 THEN 1 ELSE 0 END, l.best.audit || 'K'
+          FROM labels l JOIN judged j ON j.conv = l.conv AND j.pos = l.pos + 1 AND j.fault IN (0, 3)
+          JOIN {_KEEP} k(state, initial, next) ON k.state = l.state AND k.initial = j.initial
+        UNION ALL SELECT l.conv, l.pos + 1, {_FORCED.replace('state', 'l.state')}, l.best.cost + CASE WHEN j.fault = 3 THEN 3 ELSE 2 END,
+          l.best.audit || 'R' FROM labels l JOIN judged j ON j.conv = l.conv AND j.pos = l.pos + 1 AND j.fault IN (0, 3))
+      {_INSERTED.format('stepped')}) GROUP BY conv, pos, state),
+  solved AS (SELECT l.conv, min(best) AS best FROM labels l JOIN counts c ON c.conv = l.conv AND c.n = l.pos
+      WHERE state IN (0, 3) GROUP BY l.conv),
+  letters AS (SELECT conv, best.audit AS audit, substr(best.audit, k, 1) AS letter, k FROM (
+      SELECT conv, best, unnest(range(1, length(best.audit) + 1)) AS k FROM solved)),
+  used AS (SELECT conv, letter, k, count(*) FILTER (letter <> 'I') OVER w AS pos, count(*) FILTER (letter <> 'D') OVER w AS number
+      FROM letters WINDOW w AS (PARTITION BY conv ORDER BY k)),
+  emitted AS (SELECT u.*, j.role, j.text, max(CASE WHEN number = 1 AND letter = 'K' AND j.initial = 's' THEN 1 ELSE 0 END)
+      OVER (PARTITION BY u.conv) AS led FROM used u LEFT JOIN judged j ON j.conv = u.conv AND j.pos = u.pos AND letter <> 'I'
+      WHERE letter <> 'D'),
+  repaired AS (SELECT conv, sha256(string_agg(CASE WHEN letter = 'K' THEN role WHEN (number - led) % 2 = 1 THEN 'user'
+      ELSE 'assistant' END || ':' || CASE WHEN letter = 'I' THEN '' ELSE text END, chr(10) ORDER BY k)) AS digest FROM emitted GROUP BY conv)
+  SELECT o.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+    coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(coalesce(s.best.cost, 0) AS BIGINT) AS cost,
+    coalesce(s.best.audit, '') AS audit, coalesce(r.digest, sha256('')) AS repaired_sha256
+  FROM (SELECT DISTINCT conv_id, conv FROM originals) o LEFT JOIN counts c USING (conv) LEFT JOIN solved s USING (conv)
+  LEFT JOIN repaired r USING (conv)"""

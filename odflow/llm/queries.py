@@ -8,7 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from odflow.llm import chat, langid, mixing, mtree, neardup, oracles, quality_model, quality_rules, secrets, sentencepiece, warc
+from odflow.llm import (chat, langid, mixing, mtree, neardup, oracles, order_minhash, quality_model, quality_rules, repair,
+                        secrets, sentencepiece, warc, whitening)
 from odflow.llm.common import id_remainder, shared_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -103,4 +104,22 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree.top_k(rows, rows.filter("id % 100 = 0"), k=10)
 
 
+@_register("op11_repair", oracles.REPAIR)
+def op11_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repair.rows_of(table(spark, sf_dir, "conversations"))
+    return repair.digests(rows, *repair.repair(repair.damaged(rows)))
+
+
+@_register("op12_whitening")
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+@_register("op13_order_minhash")
+def op13_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = order_minhash.fingerprints(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", F.sha2(F.col("edited_text").cast("binary"), 256).alias("edited_sha256"),
+                        "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+
+
 _register("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -9,7 +9,8 @@ from odflow.llm.queries import ORACLES, QUERIES
 def test_queries_without_sql():
     """These are tested against brute-force versions, round trips and held-out accuracy instead."""
     assert set(QUERIES) - set(ORACLES) == {
-        "op3_language_id", "op7_mix_sources", "op8_sentencepiece", "op9_quality_model", "pipeline"}
+        "op3_language_id", "op7_mix_sources", "op8_sentencepiece", "op9_quality_model", "op12_whitening", "op13_order_minhash",
+        "pipeline"}
     assert set(ORACLES) <= set(QUERIES)
 
 
