@@ -6,6 +6,7 @@ import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +46,22 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def settled(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` as checkpointed, and its number of rows; for loops that go on from it.
+
+    A checkpoint by itself computes its last stage twice, and takes along the optimizer's estimate of its size. Every join
+    multiplies the estimates of its sides, so after some dozens of rounds a number of millions of digits is multiplied for each
+    plan. A copy held while it is written is computed once, and its size is measured.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = held.count()
+    # Planned after the copy is there, so that its size is the one measured.
+    out = held.select("*").checkpoint(eager=True)
+    held.unpersist()
+    return out, rows
+
+
 @contextmanager
 def session_conf(spark: SparkSession, **settings: str) -> Iterator[None]:
     """Set SQL options for a while and put them back as they were."""

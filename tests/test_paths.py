@@ -7,8 +7,10 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from odflow.operators import paths
+from odflow.operators import paths, relax
+from odflow.operators.overlay import components, contracted, overlay_edges
 from odflow.operators.paths import path_rows, search
+from odflow.runtime import checkpointed
 from odflow.sources.network import TimedNetwork
 
 
@@ -74,28 +76,34 @@ def grid(rng, cost):
     return edges
 
 
-@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0])
-def test_whole_costs_with_free_and_closed_edges(spark, broadcast_rows):
+# In tasks, by rounds with the network broadcast, and by rounds with every join shuffled.
+WAYS = [{}, {"task_edges": 0}, {"task_edges": 0, "broadcast_rows": 0}]
+
+
+@pytest.mark.parametrize("options", WAYS)
+def test_whole_costs_with_free_and_closed_edges(spark, options):
     rng = random.Random(1)
     edges = {p: grid(rng, lambda r: r.choice([0, 0, 1, 2, 5, 9, -1, None])) for p in (0, 1)}
     # A hub with many targets, and pairs all over.
     pairs = {(0, 3, t) for t in range(49) if t != 3} | {(rng.randrange(2), rng.randrange(49), 24) for _ in range(20)}
     pairs = sorted(p for p in pairs if p[1] != p[2])
-    check(edges, pairs, *run(spark, edges, pairs, broadcast_rows=broadcast_rows))
+    check(edges, pairs, *run(spark, edges, pairs, **options))
 
 
-def test_fractional_costs(spark):
+@pytest.mark.parametrize("options", WAYS[:2])
+def test_fractional_costs(spark, options):
     rng = random.Random(2)
     edges = {0: grid(rng, lambda r: r.uniform(0.1, 3))}
     pairs = sorted({(0, rng.randrange(24), rng.randrange(24, 49)) for _ in range(25)})
-    check(edges, pairs, *run(spark, edges, pairs, kind="double"))
+    check(edges, pairs, *run(spark, edges, pairs, kind="double", **options))
 
 
-def test_unreachable_and_no_pairs(spark):
+@pytest.mark.parametrize("options", WAYS[:2])
+def test_unreachable_and_no_pairs(spark, options):
     edges = {0: [(1, 1, 2, 5), (2, 3, 1, 5)]}
-    found, paths = run(spark, edges, [(0, 1, 3), (0, 1, 2), (0, 9, 1)])
+    found, paths = run(spark, edges, [(0, 1, 3), (0, 1, 2), (0, 9, 1)], **options)
     assert found == {(0, 1, 2): (5, 1)} and list(paths) == [(0, 1, 2)]
-    found, paths = run(spark, edges, [])
+    found, paths = run(spark, edges, [], **options)
     assert found == {} and not paths
 
 
@@ -121,8 +129,61 @@ def test_a_long_chain_has_few_runs(spark, monkeypatch):
     made = []
     add = paths._add_run
     monkeypatch.setattr(paths, "_add_run", lambda runs, *rest: (add(runs, *rest), made.append(len(runs))))
-    found = paths.search(pairs, TimedNetwork(edges))
-    assert max(made) <= 5
-    assert {(r.source, r.target): r.dist for r in found.found.collect()} == {(0, 60): 60, (5, 7): 2}
-    steps = {(r.source, r.target): [s.node for s in r.steps] for r in paths.pair_paths(found).collect()}
-    assert steps == {(0, 60): list(range(61)), (5, 7): [5, 6, 7]}
+    # By rounds, with the whole chain as it is, after contraction, and in tasks.
+    monkeypatch.setattr(paths, "contracted", lambda edges, kept: checkpointed(edges))
+    for options in ({"task_edges": 0}, {"task_edges": 0}, {}):
+        found = paths.search(pairs, TimedNetwork(edges), **options)
+        assert max(made) <= 5
+        assert {(r.source, r.target): r.dist for r in found.found.collect()} == {(0, 60): 60, (5, 7): 2}
+        steps = {(r.source, r.target): [s.node for s in r.steps] for r in paths.pair_paths(found).collect()}
+        assert steps == {(0, 60): list(range(61)), (5, 7): [5, 6, 7]}
+        monkeypatch.setattr(paths, "contracted", contracted)
+
+
+@pytest.mark.parametrize("options", WAYS[:2])
+def test_a_chain_of_300_edges(spark, options):
+    rng = random.Random(3)
+    edges = {0: [(k, k, k + 1, rng.randrange(9)) for k in range(300)] + [(300 + k, k + 1, k, 1) for k in range(300)]}
+    pairs = [(0, 0, 300), (0, 300, 0), (0, 17, 203), (0, 203, 202)]
+    check(edges, pairs, *run(spark, edges, pairs, **options))
+
+
+def test_contraction_keeps_paths_and_their_choice(spark):
+    """Two profiles of a grid with many ties; only the ends of the pairs stay."""
+    rng = random.Random(6)
+    edges = {p: grid(rng, lambda r: r.choice([0, 1, 1, 2])) for p in (0, 1)}
+    costed = spark.createDataFrame([(p, *e) for p, es in edges.items() for e in es], "profile int, id long, source long, target long, cost long")
+    kept = spark.createDataFrame([(0, 3), (0, 45), (1, 24)], "profile int, node long")
+    left = contracted(overlay_edges(costed), kept).collect()
+    vertices = {(r.profile, v) for r in left for v in (r.source, r.target)}
+    assert {(0, 3), (0, 45), (1, 24)} <= vertices and len(vertices) < 80
+    for r in left:
+        by_id = {e[0]: e for e in edges[r.profile]}
+        path = [by_id[s.edge] for s in reversed(r.steps)]
+        assert path[0][1] == r.source and path[-1][2] == r.target and len(path) == r.hops
+        assert sum(e[3] for e in path) == r.cost and all(a[2] == b[1] for a, b in zip(path, path[1:]))
+    truth = solve(edges[0], 3)[45]
+    assert solve([(k, r.source, r.target, r.cost) for k, r in enumerate(left) if r.profile == 0], 3)[45][0] == truth[0]
+
+
+def test_pairs_of_other_components_are_dropped(spark):
+    rows = [(0, 1, 2), (0, 2, 3), (0, 10, 11), (0, 12, 11), (1, 1, 10)] + [(0, k, k + 1) for k in range(100, 140)]
+    edges = spark.createDataFrame(rows, "profile int, source long, target long")
+    labels = {(r.profile, r.node): r.component for r in components(edges).collect()}
+    assert labels == {**{(0, k): 1 for k in (1, 2, 3)}, **{(0, k): 10 for k in (10, 11, 12)}, (1, 1): 1, (1, 10): 1,
+                      **{(0, k): 100 for k in range(100, 141)}}
+    pairs = spark.createDataFrame([(0, 1, 3), (0, 1, 11), (0, 3, 1), (0, 10, 12), (0, 12, 11), (0, 100, 140), (0, 1, 99)],
+                                  "profile int, source long, target long")
+    kept = {tuple(r) for r in paths.connected_pairs(pairs, edges, 1000).collect()}
+    # Nothing leaves 3 and nothing enters 12 or 1.
+    assert kept == {(0, 1, 3), (0, 12, 11), (0, 100, 140)}
+
+
+def test_a_source_with_many_blocks_of_labels(spark, monkeypatch):
+    rng = random.Random(4)
+    edges = {p: grid(rng, lambda r: r.choice([0, 1, 2, 5])) for p in (0, 1)}
+    pairs = sorted({(rng.randrange(2), rng.randrange(49), rng.randrange(49)) for _ in range(300)})
+    pairs = [p for p in pairs if p[1] != p[2]]
+    monkeypatch.setattr(relax, "BLOCK_LABELS", 100)
+    monkeypatch.setattr(relax, "SOURCES_PER_PART", 7)
+    check(edges, pairs, *run(spark, edges, pairs))
