@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odflow.functions.bins import step_of_day
+from odflow.functions.bins import DayRange, bin_starts, step_of_day
 from odflow.plans.prepare import TripInputs
 from odflow.sources.network import TimedNetwork
 
@@ -95,6 +95,10 @@ EDGE_WHERE = "target >= 0 AND target < n_supp AND target % 29 <> 7"
 EDGES = {"id": "s_suppkey * 8 + k", "source": "s_suppkey", "target": "target",
          "base": "1000 * length + ((s_suppkey * 8 + k) * 7919) % 997"}
 COST = "base + (id * 31 + profile * 17) % 500"
+# Streets alone: no edge is longer than one step.
+STREETS_WHERE = "id % 8 < 4"
+# A snapshot per bin: costs of a step of the day differ from day to day.
+SNAPSHOT_COST = "base + (id * 31 + ({step}) * 17 + day({bin}) * 13) % 500"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -168,6 +172,19 @@ def network(spark: SparkSession, sf_dir: str) -> TimedNetwork:
     return TimedNetwork(edges(spark, sf_dir), profile=step_of_day, cost=_cost)
 
 
+def streets(spark: SparkSession, sf_dir: str) -> TimedNetwork:
+    """The network without its long edges: paths have many."""
+    return TimedNetwork(edges(spark, sf_dir).filter(STREETS_WHERE), profile=step_of_day, cost=_cost)
+
+
+def snapshots(spark: SparkSession, sf_dir: str, days: list[DayRange]) -> TimedNetwork:
+    """The network as a table with the costed edges of every bin of the days."""
+    cost = SNAPSHOT_COST.format(step="hour(bin_start) * 12 + minute(bin_start) div 5", bin="bin_start")
+    spread = edges(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
+    costed = spread.withColumn("bin_start", F.explode(bin_starts(days)))
+    return TimedNetwork.from_table(costed.selectExpr("bin_start", "id", "source", "target", f"{cost} AS cost"))
+
+
 def trip_inputs(spark: SparkSession, sf_dir: str) -> TripInputs:
     return TripInputs(trips(spark, sf_dir), intersections(spark, sf_dir), nodes(spark, sf_dir),
                       links(spark, sf_dir), gateways(spark, sf_dir))

@@ -11,7 +11,7 @@ import re
 
 from dataclasses import dataclass
 
-from checks.fixtures import COST, SQL
+from checks.fixtures import COST, SNAPSHOT_COST, SQL, STREETS_WHERE
 
 VALID = "dropoff_datetime > TIMESTAMP '1900-01-01' AND pickup_datetime > TIMESTAMP '1900-01-01'"
 NEIGHBOURS = "(61, 38, 71, 57, 8, 41)"
@@ -210,6 +210,28 @@ CTES["judged"] = (
     "WHEN dist IS NULL THEN 'unreachable' ELSE 'routed' END AS outcome FROM mapped")
 
 _RECURSIVE = {"labels": "(profile, src, node, dist, hops)", "walk": ""}
+_MATERIALIZED = ["keyed", "final_labels", "od_trips", "costed", "found"]
+_ROUTING = ["od_pairs", "costed", "labels", "final_labels", "found", "walk", "path_rows", "routed"]
+
+
+def _routed_on(suffix: str, **replaced: str) -> None:
+    """The routing tables once more, under names of their own, on another network."""
+    for name in _ROUTING:
+        text = re.sub(rf"\b({'|'.join(_ROUTING)})\b", rf"\1_{suffix}", replaced.get(name, CTES[name]))
+        CTES[f"{name}_{suffix}"] = text
+        if name in _RECURSIVE:
+            _RECURSIVE[f"{name}_{suffix}"] = _RECURSIVE[name]
+        if name in _MATERIALIZED:
+            _MATERIALIZED.append(f"{name}_{suffix}")
+
+
+_routed_on("streets", costed=f"{CTES['costed']} WHERE {STREETS_WHERE}")
+_routed_on(
+    "snapshots",
+    od_pairs="SELECT DISTINCT bin_start AS profile, source, target FROM od_trips WHERE source <> target",
+    costed=f"SELECT profile, id, source, target, {SNAPSHOT_COST.format(step=_STEP.format(b='profile'), bin='profile')} AS cost "
+           "FROM edges, (SELECT DISTINCT profile FROM od_pairs)",
+    routed=CTES["routed"].replace(_STEP.format(b="t.bin_start"), "t.bin_start"))
 
 
 def _needed(text: str, seen: list[str]) -> list[str]:
@@ -244,6 +266,6 @@ def statement(final: str) -> str:
             ctes.append(f"{name}{_RECURSIVE[name]} {text}")
         else:
             # Used many times and costly: computed once.
-            how = "AS MATERIALIZED" if name in ("keyed", "final_labels", "od_trips", "costed", "found") else "AS"
+            how = "AS MATERIALIZED" if name in _MATERIALIZED else "AS"
             ctes.append(f"{name} {how} ({text})")
     return f"WITH RECURSIVE {', '.join(ctes)} {final}" if ctes else final

@@ -13,10 +13,11 @@ from checks.oracles import statement
 from odflow.functions.bins import bins_of
 from odflow.operators import pooled
 from odflow.operators.gateways import match_gateway
-from odflow.operators.paths import od_pairs
+from odflow.operators.paths import od_pairs, path_rows, search
 from odflow.operators.snap import routable_nodes, snap_nearest
 from odflow.plans import prepare as prep
 from odflow.plans import routing
+from odflow.sources.network import TimedNetwork
 from odflow.plans.views import ALL_IMPUTED, CITY, CITY_AS_WRITTEN, CITY_SENTINEL, EXTERNAL, ViewSpec
 
 DAYS = [(date(*fixtures.FIRST_DAY), date(*fixtures.AFTER_LAST_DAY))]
@@ -142,9 +143,9 @@ def _prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prep.prepare(fixtures.trip_inputs(spark, sf_dir), ALL_IMPUTED, DAYS)
 
 
-def _routing(spark: SparkSession, sf_dir: str) -> routing.Routing:
+def _routing(spark: SparkSession, sf_dir: str, network: TimedNetwork | None = None) -> routing.Routing:
     return routing.route_days(_prepared(spark, sf_dir), fixtures.vertex_map(spark, sf_dir),
-                              fixtures.network(spark, sf_dir), DAYS)
+                              network or fixtures.network(spark, sf_dir), DAYS)
 
 
 @_register("bins", """SELECT b.service_date, b.bin_start, count(p.ptctripid) AS n_prepared FROM bins b
@@ -206,6 +207,34 @@ def routed_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _routing(spark, sf_dir).routed()
 
 
+@_register("shortest_dist_streets", "SELECT profile, source, target, dist, hops FROM found_streets")
+def shortest_dist_streets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _routing(spark, sf_dir, fixtures.streets(spark, sf_dir)).result.found
+
+
+@_register("path_rows_streets", "SELECT profile, start_vid, end_vid, path_seq, node, edge, cost, agg_cost FROM path_rows_streets")
+def path_rows_streets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _routing(spark, sf_dir, fixtures.streets(spark, sf_dir)).paths()
+
+
+@_register("path_rows_by_rounds", "SELECT profile, start_vid, end_vid, path_seq, node, edge, cost, agg_cost FROM path_rows_streets")
+def path_rows_by_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same paths as if no profile fitted a task: contraction, then rounds of joins."""
+    network = fixtures.streets(spark, sf_dir)
+    trips = routing.trips_with_ends(_prepared(spark, sf_dir), fixtures.vertex_map(spark, sf_dir), network, DAYS)
+    return path_rows(search(od_pairs(trips), network, task_edges=0))
+
+
+@_register("shortest_dist_snapshots", "SELECT profile, source, target, dist, hops FROM found_snapshots")
+def shortest_dist_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _routing(spark, sf_dir, fixtures.snapshots(spark, sf_dir, DAYS)).result.found
+
+
+@_register("routed_trips_snapshots", "SELECT * FROM routed_snapshots")
+def routed_trips_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _routing(spark, sf_dir, fixtures.snapshots(spark, sf_dir, DAYS)).routed()
+
+
 @_register("bin_audit", """SELECT service_date, bin_start, CAST(sum(prepared) AS BIGINT) AS prepared,
     CAST(sum(routed) AS BIGINT) AS routed, CAST(sum(unreachable) AS BIGINT) AS unreachable,
     CAST(sum(same_vertex) AS BIGINT) AS same_vertex, CAST(sum(no_vertex) AS BIGINT) AS no_vertex,
