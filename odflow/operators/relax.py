@@ -3,7 +3,9 @@
 Pairs are grouped by profile and part of the sources, and every group meets the costed edges of its profile
 once. Inside a task all sources of a block are relaxed together, as arrays: round h offers every vertex that improved in
 round h - 1 to its neighbours, so a label's round is its number of edges, and a long path costs rounds of a few
-microseconds, not jobs. Paths are then read back over tight edges for all pairs of the block at once.
+microseconds, not jobs. Offers that cannot lie on a wanted path are dropped early: costs to and from a few landmarks bound from
+below what is left to a target, and from above what a target costs before it is reached. Paths are then read back over
+tight edges for all pairs of the block at once.
 """
 
 from __future__ import annotations
@@ -24,18 +26,26 @@ PAIR = ["profile", "source", "target"]
 TASK_EDGES = 2_000_000
 SOURCES_PER_PART = 128
 BLOCK_LABELS = 1 << 18
+# Landmarks of a network, and sources in a part from which on bounds are worth the searches that make them.
+LANDMARKS = 6
+BOUNDED_SOURCES = 24
+# Sources with more targets than this are bounded by their dearest target only.
+GOALS = 8
+# A path is first sought at up to these multiples of its lower bound, then at any cost.
+TRIALS = (1.15, 1.5)
 # Cost types whose sums are the same in arrays as in Spark: the type they are summed in and that of the result.
 SUMMED_AS = {T.LongType: (np.int64, pa.int64()), T.IntegerType: (np.int64, pa.int32()),
              T.ShortType: (np.int64, pa.int16()), T.DoubleType: (np.float64, pa.float64())}
 
 
-def fits_a_task(network: TimedNetwork, cost_type: T.DataType, task_edges: int) -> bool:
-    """Whether every profile has at most ``task_edges`` edges, counted, and costs of a type that arrays hold."""
-    if type(cost_type) not in SUMMED_AS:
+def fits_a_task(pairs: DataFrame, network: TimedNetwork, cost_type: T.DataType, task_edges: int) -> bool:
+    """Whether every profile of the pairs has at most ``task_edges`` edges, counted, and costs of a type that arrays hold."""
+    if type(cost_type) not in SUMMED_AS or task_edges < 1:
         return False
     if network.cost is not None:
         return network.edges.limit(task_edges + 1).count() <= task_edges
-    return network.edges.groupBy("profile").count().filter(F.col("count") > task_edges).isEmpty()
+    asked = network.of_profiles(pairs.select("profile").distinct())
+    return asked.groupBy("profile").count().filter(F.col("count") > task_edges).isEmpty()
 
 
 @dataclass(frozen=True)
@@ -67,35 +77,129 @@ def _spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return np.arange(len(owner)) + first, owner
 
 
-def relaxed(graph: _Graph, size: int, sources: np.ndarray, owner: np.ndarray, targets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Costs and numbers of edges from each source to each vertex, flat by (source, vertex).
+@dataclass(frozen=True)
+class Bounds:
+    """Costs from and to the landmarks, by (landmark, vertex); infinite where there is no path."""
+
+    away: np.ndarray
+    back: np.ndarray
+
+    @classmethod
+    def of(cls, graph: _Graph, size: int) -> Bounds:
+        """Landmarks far from each other: each is the vertex dearest to reach from the ones before."""
+        nearest, away, chosen, place = np.full(size, np.inf), [], [], 0
+        for _ in range(LANDMARKS + 1):
+            costs = _to_everywhere(graph, size, np.array([place]))[0]
+            if chosen or place:
+                chosen.append(place)
+                away.append(costs)
+                nearest = np.minimum(nearest, costs)
+            reached = np.where(np.isfinite(nearest if chosen else costs), nearest if chosen else costs, -1.0)
+            place = int(reached.argmax())
+            if place in chosen:
+                break
+        if not chosen:
+            chosen, away = [0], [_to_everywhere(graph, size, np.array([0]))[0]]
+        turned = _Graph.of(graph.ids, graph.heads, graph.tails, graph.costs, size)
+        return cls(np.array(away), _to_everywhere(turned, size, np.array(chosen)))
+
+    def least(self, vertices: np.ndarray, targets: np.ndarray) -> np.ndarray:
+        """What a path from each vertex to its target costs at least; infinite if there is none."""
+        with np.errstate(invalid="ignore"):
+            ahead = self.away[:, targets] - self.away[:, vertices]
+            behind = self.back[:, vertices] - self.back[:, targets]
+        # The difference of two infinite costs says nothing.
+        return np.fmax(np.fmax.reduce(np.vstack([ahead, behind]), axis=0), 0.0)
+
+    def most(self, sources: np.ndarray, targets: np.ndarray) -> np.ndarray:
+        """What a path costs at most: that by way of the best landmark."""
+        return (self.back[:, sources] + self.away[:, targets]).min(axis=0)
+
+
+def _to_everywhere(graph: _Graph, size: int, sources: np.ndarray) -> np.ndarray:
+    owner = np.repeat(np.arange(len(sources)), size)
+    dist, _, _ = relaxed(graph, size, sources, owner, np.tile(np.arange(size), len(sources)))
+    costs = dist.astype(np.float64).reshape(len(sources), size)
+    if dist.dtype == np.int64:
+        costs[(dist == np.iinfo(np.int64).max).reshape(costs.shape)] = np.inf
+    return costs
 
-    ``owner`` (sorted) says whose ``targets`` are wanted; a source takes no label dearer than its dearest target once all are
-    reached, so labels beyond that are not final. Unreached labels have the greatest number of their type.
+
+def relaxed(graph: _Graph, size: int, sources: np.ndarray, owner: np.ndarray, targets: np.ndarray,
+            bounds: Bounds | None = None, at_most: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, int]:
+    """Costs and numbers of edges from each source to each vertex, flat by (source, vertex), and how many labels were made.
+
+    ``owner`` (sorted) says whose ``targets`` are wanted, at a cost of ``at_most``. A source takes no label dearer than its dearest
+    target can be, and with few targets none from which each of them is too far; so only labels on wanted paths are
+    final, and a target that is dearer than ``at_most`` may have any label or none. Unreached labels have the
+    greatest number of their type.
     """
-    far = np.iinfo(np.int64).max if graph.costs.dtype == np.int64 else np.inf
+    whole = graph.costs.dtype == np.int64
+    far = np.iinfo(np.int64).max if whole else np.inf
     dist = np.full(len(sources) * size, far, dtype=graph.costs.dtype)
     hops = np.zeros(len(dist), dtype=np.int32)
     wanted = owner * size + targets
-    first_target = np.searchsorted(owner, np.arange(len(sources)))
+    first_target = np.searchsorted(owner, np.arange(len(sources) + 1))
     frontier = np.arange(len(sources)) * size + sources
     dist[frontier] = 0
-    limit = np.full(len(sources), far, dtype=dist.dtype)
-    steps = 0
+    # Bounds are sums in floating point, so a little more than them is let through.
+    slack = 1.0 if whole else 1.0 + 1e-9
+    at_most = np.full(len(wanted), np.inf) if at_most is None else at_most
+    goals = np.diff(first_target)
+    steps = labels = 0
     while len(frontier):
+        # What each target costs at most by now, and the most of them for each source.
+        reached = dist[wanted]
+        at_most = np.minimum(at_most, np.where(reached == far, np.inf, reached.astype(np.float64) * slack))
+        limit = np.maximum.reduceat(at_most, first_target[:-1])
         steps += 1
         mine, vertex = np.divmod(frontier, size)
         edge, offered = _spans(graph.leaving[vertex], graph.leaving[vertex + 1])
-        mine = mine[offered]
+        mine, onto = mine[offered], graph.heads[edge]
         offer = dist[frontier[offered]] + graph.costs[edge]
-        label = mine * size + graph.heads[edge]
+        label = mine * size + onto
         good = (offer < dist[label]) & (offer <= limit[mine])
-        label, offer = label[good], offer[good]
+        label, offer, mine, onto = label[good], offer[good], mine[good], onto[good]
+        if bounds is not None and len(label):
+            few = np.flatnonzero(goals[mine] <= GOALS)
+            goal, asked = _spans(first_target[mine[few]], first_target[mine[few] + 1])
+            in_time = (offer[few[asked]] + bounds.least(onto[few[asked]], targets[goal]) * (1.0 - 1e-9)) <= at_most[goal]
+            keep = np.ones(len(label), dtype=bool)
+            keep[few] = np.bincount(asked, weights=in_time, minlength=len(few)) > 0
+            label, offer = label[keep], offer[keep]
         np.minimum.at(dist, label, offer)
         frontier = np.unique(label)
         hops[frontier] = steps
-        limit = np.maximum.reduceat(dist[wanted], first_target)
-    return dist, hops
+        labels += len(frontier)
+    return dist, hops, labels
+
+
+def goal_directed(graph: _Graph, size: int, sources: np.ndarray, owner: np.ndarray, targets: np.ndarray,
+                  bounds: Bounds) -> tuple[np.ndarray, np.ndarray, int]:
+    """As ``relaxed``, with paths sought close to their lower bounds first.
+
+    A path found within what was allowed is the cheapest one, since every cheaper one was allowed, too. Sources with a target that
+    was not are searched anew at a higher cost; a target that bounds rule out is not searched for.
+    """
+    least = bounds.least(sources[owner], targets)
+    no_path = np.isinf(least)
+    most = np.where(no_path, -1.0, bounds.most(sources[owner], targets) * (1.0 + 1e-9) + 1.0)
+    far = np.iinfo(np.int64).max if graph.costs.dtype == np.int64 else np.inf
+    dist, hops = np.full(len(sources) * size, far, dtype=graph.costs.dtype), np.zeros(len(sources) * size, dtype=np.int32)
+    open_, labels = np.arange(len(sources)), 0
+    for factor in (*TRIALS, np.inf):
+        mine = np.isin(owner, open_)
+        allowed = np.minimum(most[mine], np.where(no_path[mine], -1.0, least[mine] * factor)) if np.isfinite(factor) else most[mine]
+        own = np.searchsorted(open_, owner[mine])
+        found, edges, made = relaxed(graph, size, sources[open_], own, targets[mine], bounds, allowed)
+        rows = (open_[:, None] * size + np.arange(size)).ravel()
+        dist[rows], hops[rows] = found, edges
+        labels += made
+        reached = found[own * size + targets[mine]].astype(np.float64)
+        open_ = open_[np.unique(own[(reached > allowed) & ~no_path[mine]])]
+        if not len(open_) or not np.isfinite(factor):
+            return dist, hops, labels
+    return dist, hops, labels
 
 
 def read_back(graph: _Graph, size: int, dist: np.ndarray, hops: np.ndarray, owner: np.ndarray,
@@ -131,11 +235,14 @@ def read_back(graph: _Graph, size: int, dist: np.ndarray, hops: np.ndarray, owne
     return pair[order], edge[order]
 
 
-def _block_paths(graph: _Graph, vertices: np.ndarray, sources: np.ndarray, owner: np.ndarray,
-                 targets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+def _block_paths(graph: _Graph, vertices: np.ndarray, sources: np.ndarray, owner: np.ndarray, targets: np.ndarray,
+                 bounds: Bounds | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
     """Which of the pairs have a path, and their costs, numbers of edges and steps."""
     size = len(vertices)
-    dist, hops = relaxed(graph, size, sources, owner, targets)
+    if bounds is None:
+        dist, hops, _ = relaxed(graph, size, sources, owner, targets)
+    else:
+        dist, hops, _ = goal_directed(graph, size, sources, owner, targets, bounds)
     ends = owner * size + targets
     far = np.iinfo(np.int64).max if dist.dtype == np.int64 else np.inf
     found = np.flatnonzero(dist[ends] != far)
@@ -184,10 +291,11 @@ def _solver(cost_type: T.DataType):
         owner = np.searchsorted(at, source)
         parts = []
         per_block = max(1, BLOCK_LABELS // len(vertices))
+        bounds = Bounds.of(graph, len(vertices)) if len(at) >= BOUNDED_SOURCES else None
         for first in range(0, len(at), per_block):
             low, high = np.searchsorted(owner, [first, first + per_block])
             found, dist, hops, steps = _block_paths(graph, vertices, np.searchsorted(vertices, at[first: first + per_block]),
-                                                    owner[low:high] - first, ends[low:high])
+                                                    owner[low:high] - first, ends[low:high], bounds)
             rows = pairs.take(pa.array(known[low:high][found]))
             parts.append(pa.Table.from_arrays(
                 [*[rows.column(name) for name in PAIR], pa.array(dist), pa.array(hops, pa.int32()), steps],

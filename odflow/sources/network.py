@@ -37,6 +37,13 @@ class TimedNetwork:
         """A table (bin_start, id, source, target, cost) with one snapshot per bin."""
         return cls(costed.withColumnRenamed("bin_start", "profile"))
 
+    def of_profiles(self, keys: DataFrame) -> DataFrame:
+        """The edges of a table of snapshots joined to ``keys``, which has a column ``profile`` and few rows an edge.
+
+        The keys are broadcast while they are few, so a table stored by bin is read for the bins asked for only.
+        """
+        return self.edges.join(broadcast_if_small(keys), "profile")
+
     def leaving(self, at: DataFrame, node: str) -> DataFrame:
         """``at`` joined to the usable edges that leave its ``node``: adds id, target and cost."""
         return self._joined(at, node, "source", "target")
@@ -67,7 +74,7 @@ class TimedNetwork:
         """
         keys = parts.select("profile", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
         if self.cost is None:
-            keyed = self.edges.join(broadcast_if_small(keys), "profile")
+            keyed = self.of_profiles(keys)
         else:
             # Every edge becomes a row per key, so even a small edge table is spread out first.
             tasks = int(self.edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))

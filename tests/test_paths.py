@@ -4,6 +4,7 @@ import heapq
 import random
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,3 +188,43 @@ def test_a_source_with_many_blocks_of_labels(spark, monkeypatch):
     monkeypatch.setattr(relax, "BLOCK_LABELS", 100)
     monkeypatch.setattr(relax, "SOURCES_PER_PART", 7)
     check(edges, pairs, *run(spark, edges, pairs))
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_bounds_change_no_path(seed):
+    """With landmarks and without: the same costs, numbers of edges and edges, ties and unreachable targets included."""
+    rng = random.Random(seed)
+    size = 80
+    costs = [0, 1, 1, 2, 7] if seed % 2 else [rng.uniform(0, 3) for _ in range(40)]
+    rows = [(k, rng.randrange(size), rng.randrange(size), rng.choice(costs)) for k in range(rng.choice([90, 200, 400]))]
+    ids, tails, heads, cost = (np.array(column) for column in zip(*rows))
+    graph = relax._Graph.of(ids, tails, heads, cost.astype(np.int64 if seed % 2 else np.float64), size)
+    sources = np.array(sorted(rng.sample(range(size), 30)))
+    pairs = sorted({(rng.randrange(30), rng.randrange(size)) for _ in range(120)} | {(4, t) for t in range(size)})
+    owner, targets = (np.array(column) for column in zip(*[(o, t) for o, t in pairs + [(o, 0) for o in range(30)]]))
+    order = np.argsort(owner, kind="stable")
+    owner, targets = owner[order], targets[order]
+    wanted = owner * size + targets
+    plain, hops, _ = relax.relaxed(graph, size, sources, owner, targets)
+    quick, quick_hops, _ = relax.goal_directed(graph, size, sources, owner, targets, relax.Bounds.of(graph, size))
+    assert (plain[wanted] == quick[wanted]).all()
+    reached = plain[wanted] < 1 << 60
+    assert (hops[wanted] == quick_hops[wanted])[reached].all()
+    one = relax.read_back(graph, size, plain, hops, owner[reached], targets[reached])
+    two = relax.read_back(graph, size, quick, quick_hops, owner[reached], targets[reached])
+    assert all((a == b).all() for a, b in zip(one, two))
+
+
+def test_bounds_save_most_labels():
+    size, rows = 900, []
+    for v in range(size):
+        for step, fits in ((1, v % 30 < 29), (-1, v % 30 > 0), (30, True), (-30, True)):
+            if fits and 0 <= v + step < size:
+                rows.append((len(rows), v, v + step, 1000 + len(rows) * 7919 % 997))
+    ids, tails, heads, cost = (np.array(column) for column in zip(*rows))
+    graph = relax._Graph.of(ids, tails, heads, cost, size)
+    sources, targets = np.arange(0, 800, 25), np.arange(0, 800, 25) + 63
+    owner = np.arange(len(sources))
+    _, _, labels = relax.relaxed(graph, size, sources, owner, targets)
+    _, _, fewer = relax.goal_directed(graph, size, sources, owner, targets, relax.Bounds.of(graph, size))
+    assert fewer < labels / 2
