@@ -98,6 +98,7 @@ COST = "base + (id * 31 + profile * 17) % 500"
 # Streets alone: no edge is longer than one step.
 STREETS_WHERE = "id % 8 < 4"
 # A snapshot per bin: costs of a step of the day differ from day to day.
+BROKEN_EVERY = 40
 SNAPSHOT_COST = "base + (id * 31 + ({step}) * 17 + day({bin}) * 13) % 500"
 
 
@@ -185,6 +186,14 @@ def snapshots(spark: SparkSession, sf_dir: str, days: list[DayRange]) -> TimedNe
     return TimedNetwork.from_table(costed.selectExpr("bin_start", "id", "source", "target", f"{cost} AS cost"))
 
 
+def broken_snapshots(spark: SparkSession, sf_dir: str, days: list[DayRange]) -> TimedNetwork:
+    """The snapshots with costs that are no numbers in some bins."""
+    whole = snapshots(spark, sf_dir, days)
+    step = step_of_day(F.col("profile"))
+    cost = F.when((step % BROKEN_EVERY == 7) & (F.col("id") % 100 == 3), float("nan")).otherwise(F.col("cost").cast("double"))
+    return TimedNetwork(whole.edges.withColumn("cost", cost))
+
+
 def trip_inputs(spark: SparkSession, sf_dir: str) -> TripInputs:
     return TripInputs(trips(spark, sf_dir), intersections(spark, sf_dir), nodes(spark, sf_dir),
                       links(spark, sf_dir), gateways(spark, sf_dir))

@@ -7,6 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from checks import fixtures
 from checks.oracles import statement
@@ -17,6 +18,8 @@ from odflow.operators.paths import od_pairs, path_rows, search
 from odflow.operators.snap import routable_nodes, snap_nearest
 from odflow.plans import prepare as prep
 from odflow.plans import routing
+from odflow.plans.journal import BinRun, read_routed_bins, run_bins
+from odflow.runtime import checkpointed, shared_folder
 from odflow.sources.network import TimedNetwork
 from odflow.plans.views import ALL_IMPUTED, CITY, CITY_AS_WRITTEN, CITY_SENTINEL, EXTERNAL, ViewSpec
 
@@ -235,6 +238,38 @@ def routed_trips_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _routing(spark, sf_dir, fixtures.snapshots(spark, sf_dir, DAYS)).routed()
 
 
+@_register("bin_failures", f"""SELECT DISTINCT service_date, bin_start, 'ValueError: an edge costs no finite number' AS error FROM od_trips
+    WHERE source <> target AND ((hour(bin_start) * 60 + minute(bin_start)) // 5) % {fixtures.BROKEN_EVERY} = 7""")
+def bin_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _routing(spark, sf_dir, fixtures.broken_snapshots(spark, sf_dir, DAYS)).failures()
+
+
+def _journaled(spark: SparkSession, sf_dir: str) -> tuple[BinRun, DataFrame, StructType]:
+    """Two runs on the record: with bins that fail, and again with their network mended."""
+    run = BinRun(DAYS, shared_folder(spark, "routed-bins"), shared_folder(spark, "journal"))
+    prepared, vertices = checkpointed(_prepared(spark, sf_dir)), fixtures.vertex_map(spark, sf_dir)
+    run_bins(spark, run, prepared, vertices, fixtures.broken_snapshots(spark, sf_dir, DAYS))
+    mended = fixtures.snapshots(spark, sf_dir, DAYS)
+    mended = TimedNetwork(mended.edges.withColumn("cost", F.col("cost").cast("double")))
+    again = run_bins(spark, run, prepared, vertices, mended)
+    return run, again, routing.route_days(prepared.limit(0), vertices, mended, DAYS).routed().schema
+
+
+@_register("journal_of_a_rerun", f"""SELECT service_date, bin_start, 'done' AS state FROM od_trips
+    WHERE source <> target AND ((hour(bin_start) * 60 + minute(bin_start)) // 5) % {fixtures.BROKEN_EVERY} = 7 GROUP BY ALL""")
+def journal_of_a_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rerun tries the bins that failed and no others."""
+    return _journaled(spark, sf_dir)[1].select("service_date", "bin_start", "state")
+
+
+@_register("routed_trips_rerun", """SELECT service_date, bin_start, mlsassignedptc, ptctripid, trippassengerid, start_vid, end_vid, path_seq,
+    node, edge, CAST(cost AS DOUBLE) AS cost, CAST(agg_cost AS DOUBLE) AS agg_cost FROM routed_snapshots""")
+def routed_trips_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What both runs stored, read back from the table."""
+    run, _, schema = _journaled(spark, sf_dir)
+    return read_routed_bins(spark, run, schema)
+
+
 @_register("bin_audit", """SELECT service_date, bin_start, CAST(sum(prepared) AS BIGINT) AS prepared,
     CAST(sum(routed) AS BIGINT) AS routed, CAST(sum(unreachable) AS BIGINT) AS unreachable,
     CAST(sum(same_vertex) AS BIGINT) AS same_vertex, CAST(sum(no_vertex) AS BIGINT) AS no_vertex,

@@ -270,19 +270,37 @@ def _numpy(table: pa.Table, name: str, dtype: type | None = None) -> np.ndarray:
     return column if dtype is None else column.astype(dtype)
 
 
+def _checked(costs: np.ndarray, size: int) -> np.ndarray:
+    if costs.dtype == np.float64:
+        if not np.isfinite(costs).all():
+            raise ValueError("an edge costs no finite number")
+    elif float(costs.max()) * size >= 2.0 ** 53:
+        raise OverflowError("the cost of a path may not be exact")
+    return costs
+
+
 def _solver(cost_type: T.DataType):
     summed_as, cost = SUMMED_AS[type(cost_type)]
     step = pa.struct([("path_seq", pa.int32()), ("node", pa.int64()), ("edge", pa.int64()), ("cost", cost), ("agg_cost", cost)])
 
     def run(pairs: pa.Table, edges: pa.Table) -> pa.Table:
         schema = pa.schema([("profile", pairs.schema.field("profile").type), ("source", pa.int64()), ("target", pa.int64()),
-                            ("dist", cost), ("hops", pa.int32()), ("steps", pa.list_(step))])
+                            ("dist", cost), ("hops", pa.int32()), ("steps", pa.list_(step)), ("error", pa.string())])
         if not pairs.num_rows or not edges.num_rows:
             return schema.empty_table()
+        try:
+            return solved(pairs, edges, schema)
+        except (ArithmeticError, ValueError) as error:
+            # One network that cannot be searched costs its own profile only.
+            failed = [pairs.column("profile").slice(0, 1).to_pylist(), [f"{type(error).__name__}: {error}"]]
+            return pa.table([pa.array(failed[0], schema.field("profile").type), *[pa.nulls(1, field.type) for field in list(schema)[1:-1]],
+                             pa.array(failed[1])], schema=schema)
+
+    def solved(pairs: pa.Table, edges: pa.Table, schema: pa.Schema) -> pa.Table:
         tails, heads = _numpy(edges, "edge_source"), _numpy(edges, "edge_target")
         vertices = np.unique(np.concatenate([tails, heads]))
         graph = _Graph.of(_numpy(edges, "edge_id"), np.searchsorted(vertices, tails), np.searchsorted(vertices, heads),
-                          _numpy(edges, "edge_cost", summed_as), len(vertices))
+                          _checked(_numpy(edges, "edge_cost", summed_as), len(vertices)), len(vertices))
         pairs = pairs.sort_by([("source", "ascending"), ("target", "ascending")])
         source, target = _numpy(pairs, "source"), _numpy(pairs, "target")
         known = np.flatnonzero(np.isin(source, vertices) & np.isin(target, vertices))
@@ -298,16 +316,17 @@ def _solver(cost_type: T.DataType):
                                                     owner[low:high] - first, ends[low:high], bounds)
             rows = pairs.take(pa.array(known[low:high][found]))
             parts.append(pa.Table.from_arrays(
-                [*[rows.column(name) for name in PAIR], pa.array(dist), pa.array(hops, pa.int32()), steps],
-                [*PAIR, "dist", "hops", "steps"]).cast(schema))
+                [*[rows.column(name) for name in PAIR], pa.array(dist), pa.array(hops, pa.int32()), steps,
+                 pa.nulls(rows.num_rows, pa.string())], schema.names).cast(schema))
         return pa.concat_tables(parts) if parts else schema.empty_table()
 
     return run
 
 
 def paths_in_tasks(pairs: DataFrame, network: TimedNetwork, cost_type: T.DataType) -> DataFrame:
-    """(profile, source, target, dist, hops, steps) of every pair that has a path.
+    """(profile, source, target, dist, hops, steps, error) of every pair that has a path.
 
+    A profile whose costs are no numbers, or too large to be added exactly, has one row or more with the ``error`` and no pair.
     A profile's sources are dealt into parts of about SOURCES_PER_PART, so a profile with most of the pairs
     spreads over tasks; each part is sent the edges of its profile. A vertex id is a long.
     """
@@ -324,6 +343,7 @@ def paths_in_tasks(pairs: DataFrame, network: TimedNetwork, cost_type: T.DataTyp
                          T.StructField("edge", T.LongType()), T.StructField("cost", cost_type), T.StructField("agg_cost", cost_type)])
     schema = T.StructType([T.StructField("profile", profile_type), T.StructField("source", T.LongType()),
                            T.StructField("target", T.LongType()), T.StructField("dist", cost_type),
-                           T.StructField("hops", T.IntegerType()), T.StructField("steps", T.ArrayType(step))])
+                           T.StructField("hops", T.IntegerType()), T.StructField("steps", T.ArrayType(step)),
+                           T.StructField("error", T.StringType())])
     groups = dealt.groupBy("profile", "part").cogroup(costed.groupBy("profile", "part"))
     return checkpointed(groups.applyInArrow(_solver(cost_type), schema))

@@ -114,6 +114,11 @@ class Routing:
             "service_date", "bin_start", *TRIP, F.col("source").alias("start_vid"), F.col("target").alias("end_vid"),
             F.inline("steps"))
 
+    def failures(self) -> DataFrame:
+        """Bins whose network cannot be searched: (service_date, bin_start, error), those with trips to route only."""
+        bins = self.trips.select("service_date", "bin_start", "profile").distinct()
+        return bins.join(broadcast_if_small(self.result.failures), "profile").select("service_date", "bin_start", "error")
+
     def outcomes(self) -> DataFrame:
         """Every prepared row, once per pair of end vertices, and what became of it."""
         binned = with_bins(self.prepared, self.days)
