@@ -6,10 +6,11 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from odflow.runtime import ensure_checkpoint_dir
+from odflow.runtime import broadcast_if_small, ensure_checkpoint_dir
 
 # Code points turned into n-grams at a time, so that a long text needs no more memory than a short one.
 PIECE_CHARS = 1 << 20
@@ -32,6 +33,25 @@ def packed(docs: DataFrame, but: tuple[str, ...] = ()) -> Column:
     return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in but]).alias("row")
 
 
+def placed(docs: DataFrame, out: str) -> DataFrame:
+    """``docs`` with ``out``, the place of each row in the order in which a sorted table was written, from 0.
+
+    A scan packs files by their size, so the order is read off the files: by name, and by row within each. Rows that come
+    from no file get rising numbers in the order they are in. A column of that name is replaced.
+    """
+    try:
+        found = docs.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:
+        return docs.withColumn(out, F.monotonically_increasing_id())
+    # A row per file.
+    sizes = found.groupBy("_file").agg(F.count("*").alias("rows"))
+    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(F.col("_file").alias("_name"), F.coalesce(F.sum("rows").over(earlier), F.lit(0)).alias("_start"))
+    at = F.col("_start") + F.col("_row")
+    return found.join(broadcast_if_small(starts), F.col("_file") == F.col("_name")).withColumn(out, at).drop(
+        "_file", "_row", "_name", "_start")
+
+
 def id_remainder(doc_id: Column, modulus: int) -> Column:
     """crc32 of the id written as text, modulo ``modulus``; NULL without an id."""
     return F.crc32(doc_id.cast("string")) % modulus

@@ -4,82 +4,89 @@ A source of weight w gets its j-th block (from 1) released at slot floor((j - 1)
 ceil(j / w). Earliest deadline first then deals one block to each slot; every block meets its
 deadline, so at any slot a source has had less than one block more or less than its weight asks for.
 
-Weights are rounded to multiples of 1/period, so the schedule repeats after ``period`` slots: only
-that pattern, whose size is a parameter, is worked out on the driver. Rows are numbered within their
-source by range partitions, whatever a source's share, and their slot is arithmetic on the pattern.
+Weights are exact fractions, and so are the windows; nothing repeats. The driver works out one slot for every block, of which
+there are at most MAX_BLOCKS: with more rows the blocks are larger, and the guarantee is in blocks. Rows are
+numbered within their source by range partitions, whatever a source's share, and look their block's slot up.
 When a source runs out its later slots stay empty, and the others go on among themselves.
 """
 
 from __future__ import annotations
 
 import heapq
-import math
+from collections.abc import Iterator
+from fractions import Fraction
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from odflow.llm.common import packed
 from odflow.runtime import checkpointed
 
-PERIOD = 1024
 BLOCK_ROWS = 16
-# The pattern and the sources' weights are held by the driver; more sources are an error.
+# The schedule and the sources' weights are held by the driver; more sources are an error.
+MAX_BLOCKS = 1 << 19
 MAX_SOURCES = 100_000
 ROWS_PER_CHUNK = 500_000
 
 
-def quantised(weights: dict[str | None, float], period: int = PERIOD) -> tuple[dict[str | None, int], int]:
-    """Slots per period for each source, one at least; the period grows until every source fits twice."""
-    if not weights:
-        return {}, period
-    while period < 2 * len(weights):
-        period *= 2
-    names = sorted(weights, key=lambda name: (name is None, name or ""))
-    total = math.fsum(weights.values())
-    spare = period - len(names)
-    exact = {name: spare * weights[name] / total for name in names}
-    slots = {name: 1 + int(exact[name]) for name in names}
-    short = sorted(names, key=lambda name: -(exact[name] % 1.0))
-    for name in short[: period - sum(slots.values())]:
-        slots[name] += 1
-    return slots, period
+def shares(weights: dict[str | None, float]) -> dict[str | None, Fraction]:
+    """The exact share of each source in the slots."""
+    total = sum(map(Fraction, weights.values()), Fraction(0))
+    return {name: Fraction(weight) / total for name, weight in weights.items()}
 
 
-def pfair(slots: dict[str | None, int], period: int) -> list[tuple[int, str | None, int]]:
-    """One period of the schedule: (slot, source, number of the block within the period).
+def pfair(parts: dict[str | None, Fraction], blocks: dict[str | None, int]) -> Iterator[tuple[int, str | None, int]]:
+    """The schedule of all blocks: (slot, source, number of the block), by slot.
 
-    Equal deadlines go to the block released first, then to the first source in order.
+    Equal deadlines go to the block released first, then to the first source in order. Slots at which no
+    block is released are skipped.
     """
-    order = sorted(slots, key=lambda name: (name is None, name or ""))
-    waiting, ready, out = [], [], []
+    order = sorted((name for name in parts if blocks.get(name)), key=lambda name: (name is None, name or ""))
+    sizes = [(parts[name].numerator, parts[name].denominator) for name in order]
 
-    def window(rank: int, block: int) -> tuple[int, int]:
-        weight = slots[order[rank]]
-        return (block * period) // weight, -((-(block + 1) * period) // weight)
+    def released(rank: int, block: int) -> int:
+        weight, whole = sizes[rank]
+        return block * whole // weight
 
-    for rank in range(len(order)):
-        heapq.heappush(waiting, (window(rank, 0)[0], rank, 0))
-    for slot in range(period):
+    waiting = [(0, rank, 0) for rank in range(len(order))]
+    ready: list[tuple[int, int, int, int]] = []
+    slot = 0
+    while waiting or ready:
+        if not ready:
+            slot = max(slot, waiting[0][0])
         while waiting and waiting[0][0] <= slot:
             release, rank, block = heapq.heappop(waiting)
-            heapq.heappush(ready, (window(rank, block)[1], release, rank, block))
-        if not ready:
-            continue
+            weight, whole = sizes[rank]
+            heapq.heappush(ready, (-(-(block + 1) * whole // weight), release, rank, block))
         due, _, rank, block = heapq.heappop(ready)
         if due <= slot:
             raise AssertionError("a block missed its deadline")
-        out.append((slot, order[rank], block))
-        if block + 1 < slots[order[rank]]:
-            heapq.heappush(waiting, (window(rank, block + 1)[0], rank, block + 1))
-    return out
+        yield slot, order[rank], block
+        if block + 1 < blocks[order[rank]]:
+            heapq.heappush(waiting, (released(rank, block + 1), rank, block + 1))
+        slot += 1
 
 
-def tempered_weights(rows: DataFrame, exponent: float = 0.5) -> dict[str | None, float]:
-    """Target weights by size: each source's number of rows to the power ``exponent``."""
+def source_sizes(rows: DataFrame) -> dict[str | None, int]:
+    """The number of rows of each source."""
     sizes = rows.groupBy("source").count().limit(MAX_SOURCES + 1).collect()
     if len(sizes) > MAX_SOURCES:
         raise ValueError(f"more than {MAX_SOURCES} sources: the schedule would not fit its bound")
-    return {row["source"]: float(row["count"]) ** exponent for row in sizes}
+    return {row["source"]: row["count"] for row in sizes}
+
+
+def tempered_weights(sizes: dict[str | None, int], exponent: float = 0.5) -> dict[str | None, float]:
+    """Target weights by size: each source's number of rows to the power ``exponent``."""
+    return {name: float(size) ** exponent for name, size in sizes.items()}
+
+
+def rows_to_a_block(sizes: dict[str | None, int], least: int, max_blocks: int) -> int:
+    """``least`` rows, or as many as keep the blocks within ``max_blocks``; a source has one block at least."""
+    size = least
+    while sum(-(-rows // size) for rows in sizes.values()) > max(max_blocks, len(sizes)):
+        size *= 2
+    return size
 
 
 def numbered(keys: DataFrame, order: list[str], rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
@@ -106,46 +113,41 @@ def numbered(keys: DataFrame, order: list[str], rows_per_chunk: int = ROWS_PER_C
 
 
 def schedule(keys: DataFrame, order: list[str], weights: dict[str | None, float] | None = None,
-             block_rows: int = BLOCK_ROWS, period: int = PERIOD) -> DataFrame:
-    """``keys`` with ``block`` (of the source), ``slot`` and ``position``, which orders the mixture.
+             block_rows: int = BLOCK_ROWS, max_blocks: int = MAX_BLOCKS) -> DataFrame:
+    """``keys`` with ``rank`` and ``block`` (within the source), ``slot`` and ``position``, which orders the mixture.
 
     ``keys`` holds ``source`` and what ``order`` needs; a NULL source is a source of its own. Without
     weights those of ``tempered_weights`` are taken. A source the weights do not name is an error,
-    since its rows would have no slot; names without rows are no matter. Every row appears once.
+    since its rows would have no slot; names without rows are no matter. Every row appears once, repeated rows as
+    often as they are there. Columns of ``keys`` called rank, block, slot or position are replaced.
     """
-    sizes = tempered_weights(keys)
-    weights = sizes if weights is None else weights
+    keys = keys.drop("rank", "block", "slot", "position")
+    sizes = source_sizes(keys)
+    weights = tempered_weights(sizes) if weights is None else weights
     if unnamed := [name for name in sizes if name not in weights]:
         raise ValueError(f"no weight for source {unnamed[0]}")
     if any(not weight > 0 for weight in weights.values()):
         raise ValueError("weights are positive")
-    slots, period = quantised(weights, period)
-    pattern = [(name, block, slot) for slot, name, block in pfair(slots, period)]
-    spark = keys.sparkSession
-    table = spark.createDataFrame(pattern, "p_source string, p_block long, p_slot long")
-    ranked = numbered(keys, order).withColumn("block", F.floor(F.col("rank") / block_rows))
-    per = spark.createDataFrame(sorted(slots.items(), key=str), "w_source string, w_slots long")
-    # Both tables are as large as the period and the number of sources, which are checked above.
-    paced = ranked.join(F.broadcast(per), F.col("source").eqNullSafe(F.col("w_source")))
-    turn = F.call_function("div", F.col("block"), F.col("w_slots"))
-    paced = paced.withColumn("w_turn", turn).withColumn("w_block", F.col("block") % F.col("w_slots"))
-    slotted = paced.join(F.broadcast(table), F.col("source").eqNullSafe(F.col("p_source"))
-                         & (F.col("w_block") == F.col("p_block")))
-    slot = F.col("w_turn") * period + F.col("p_slot")
-    return (slotted.withColumn("slot", slot)
-            .withColumn("position", slot * block_rows + F.col("rank") % block_rows)
-            .drop("w_source", "w_slots", "w_turn", "w_block", "p_source", "p_block", "p_slot"))
+    size = rows_to_a_block(sizes, block_rows, max_blocks)
+    dealt = pfair(shares(weights), {name: -(-rows // size) for name, rows in sizes.items()})
+    pattern = pd.DataFrame(dealt, columns=["slot", "s_source", "s_block"]).astype({"slot": "int64", "s_block": "int64"})
+    slots = keys.sparkSession.createDataFrame(pattern, "slot long, s_source string, s_block long")
+    ranked = numbered(keys, order).withColumn("block", F.floor(F.col("rank") / size))
+    # The schedule has a row per block, at most max_blocks or the number of sources.
+    same = F.col("source").eqNullSafe(F.col("s_source")) & (F.col("block") == F.col("s_block"))
+    slotted = ranked.join(F.broadcast(slots), same).drop("s_source", "s_block")
+    return slotted.withColumn("position", F.col("slot") * size + F.col("rank") % size)
 
 
 def mix(docs: DataFrame, weights: dict[str | None, float] | None = None, block_rows: int = BLOCK_ROWS,
-        period: int = PERIOD) -> DataFrame:
+        max_blocks: int = MAX_BLOCKS) -> DataFrame:
     """All rows of ``docs`` in the order of the mixture, with its columns.
 
-    Within a source rows go by a hash of their id. Fully equal rows share one place in the order.
+    Written as files the order is that of their names and of the rows in each; ``common.placed`` reads it back. Within a source rows go by a hash of their id. Fully equal rows share one place in the order.
     Only ids and hashes are numbered; texts move twice, to meet their position and into order.
     """
     keyed = docs.select(packed(docs), "source", "doc_id", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("key"))
-    places = (schedule(keyed.drop("row"), ["key", "doc_id"], weights, block_rows, period)
+    places = (schedule(keyed.drop("row"), ["key", "doc_id"], weights, block_rows, max_blocks)
               .groupBy(F.col("key").alias("p_key"), F.col("doc_id").alias("p_id"))
               .agg(F.min("position").alias("position")))
     same = (F.col("key") == F.col("p_key")) & F.col("doc_id").eqNullSafe(F.col("p_id"))

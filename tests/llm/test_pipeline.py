@@ -6,7 +6,7 @@ import pytest
 from plain_neardup import plain_groups
 
 import corpus_pipeline
-from odflow.llm import langid, secrets, sentencepiece
+from odflow.llm import langid, mixing, secrets, sentencepiece
 from odflow.llm.common import table
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -72,12 +72,39 @@ def test_mixing_keeps_all(stages):
 def test_tokens_decode(stages):
     given, got, columns = stages[4]
     model = sentencepiece.PieceModel.from_file(sentencepiece.MODEL_PATH)
-    assert columns == [*COLUMNS, "ids", "n_tokens", "round_trip"] and len(got) == len(given)
+    assert columns == [*COLUMNS, "position", "ids", "n_tokens", "round_trip"] and len(got) == len(given)
     for row in got:
         assert row["round_trip"] and sentencepiece.decode_ids(row["ids"], model) == row["text"]
 
 
+def test_the_mixture_is_the_order_at_the_end(spark, stages):
+    """Sources come at the places of the schedule of what the mixing stage was given."""
+    given, got = stages[3][0], stages[4][1]
+    keys = spark.createDataFrame([(k, r["source"]) for k, r in enumerate(given)], "key int, source string")
+    wanted = [r["source"] for r in mixing.schedule(keys, ["key"]).orderBy("position").collect()]
+    assert [r["source"] for r in sorted(got, key=lambda r: r["position"])] == wanted
+    assert sorted(r["position"] for r in got) == list(range(len(got)))
+
+
+EMPTY = "doc_id long, text string, lang string, source string, n_chars long, position string, ids int, row string"
+
+
+def test_stages_on_an_empty_table_and_clashing_names(spark):
+    rows = [(k, f"the words of a text number {k} and some more", "en", "s", 3, "clash", 4, "x") for k in (1, 2, 2, 3)] + [
+        (9, "long " * 100_000, "en", None, 3, None, 4, "x"), (None, None, None, None, None, None, None, None)]
+    for given in ([], rows):
+        docs = spark.createDataFrame(given, EMPTY)
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, "")
+            columns = out.columns
+            docs = spark.createDataFrame(out.collect(), out.schema)
+            if name != "sentencepiece":
+                assert columns == EMPTY.replace(" long", "").replace(" string", "").replace(" int", "").split(", ")
+        # Rows without a letter go, and repeated ones become one.
+        assert docs.count() == (4 if given else 0)
+
+
 def test_run_gives_the_last_stage(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir)
-    assert out.columns == [*COLUMNS, "ids", "n_tokens", "round_trip"] and out.count() > 100
+    assert out.columns == [*COLUMNS, "position", "ids", "n_tokens", "round_trip"] and out.count() > 100
     assert langid.UNKNOWN == "und"

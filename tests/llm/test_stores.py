@@ -10,7 +10,7 @@ import pytest
 import zstandard
 from pyspark.sql import functions as F
 
-from odflow.llm import mixing, mtree, sentencepiece, warc
+from odflow.llm import common, mixing, mtree, sentencepiece, warc
 
 PAGES = "page_id long, url string, html string, payload string, keeper long"
 
@@ -70,40 +70,87 @@ def test_an_empty_archive(spark, tmp_path):
     assert warc.read_index(spark, str(tmp_path / "w")).collect() == []
 
 
+def plain_pfair(parts, blocks):
+    """Slot by slot, over all blocks: of those released the one due first."""
+    done, slot, out = dict.fromkeys(blocks, 0), 0, []
+    names = sorted(blocks, key=lambda n: (n is None, n or ""))
+    while any(done[n] < blocks[n] for n in names):
+        ready = []
+        for at, n in enumerate(names):
+            j = done[n]
+            if j < blocks[n] and math.floor(j / parts[n]) <= slot:
+                ready.append((math.ceil((j + 1) / parts[n]), math.floor(j / parts[n]), at, n, j))
+        if ready:
+            *_, n, j = min(ready)
+            out.append((slot, n, j))
+            done[n] += 1
+        slot += 1
+    return out
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_pfair_deviates_by_less_than_a_block(seed):
+    """From the weights themselves, at every slot of a long schedule in which no source runs out."""
     rng = random.Random(seed)
     weights = {f"s{k}": rng.random() ** 3 + 0.001 for k in range(rng.randrange(1, 40))}
-    slots, period = mixing.quantised(weights, 256)
-    assert sum(slots.values()) == period and min(slots.values()) >= 1
-    pattern = mixing.pfair(slots, period)
-    assert [slot for slot, _, _ in pattern] == list(range(period))
+    parts = mixing.shares(weights)
+    assert sum(parts.values()) == 1
+    slots = 20_000
     done = dict.fromkeys(weights, 0)
-    for slot, name, block in pattern:
-        assert block == done[name]
+    plenty = dict.fromkeys(weights, slots)
+    for at, (slot, name, block) in zip(range(slots), mixing.pfair(parts, plenty)):
+        assert slot == at and block == done[name]
         done[name] += 1
-        for other in weights:
-            assert abs(done[other] - Fraction(slots[other] * (slot + 1), period)) < 1
+        if slot % 97 == 0 or slot > slots - 50:
+            assert all(abs(done[other] - parts[other] * (slot + 1)) < 1 for other in weights)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_pfair_equals_a_plain_schedule(seed):
+    rng = random.Random(seed)
+    weights = {name: rng.choice([1.0, 0.1, 3.5, rng.random()]) for name in ["a", "b", "c", None, "d"][: rng.randrange(1, 6)]}
+    blocks = {name: rng.randrange(0, 60) for name in weights}
+    parts = mixing.shares(weights)
+    assert list(mixing.pfair(parts, blocks)) == plain_pfair(parts, blocks)
 
 
 def test_schedule_places_every_row_once(spark):
     rng = random.Random(1)
-    rows = [(k, rng.choice(["hot"] * 6 + ["a", "b", None])) for k in range(3000)] + [(7, "hot")] * 5 + [(None, "a")]
-    keys = spark.createDataFrame(rows, "doc_id long, source string").withColumn("key", F.xxhash64("doc_id"))
-    got = mixing.schedule(keys, ["key", "doc_id"], block_rows=8, period=32).collect()
-    assert len(got) == len(rows) and len({r["position"] for r in got}) == len(rows)
-    by_source = {}
-    for r in sorted(got, key=lambda r: r["position"]):
-        by_source.setdefault(r["source"], []).append(r)
-    for found in by_source.values():
-        assert [r["rank"] for r in found] == list(range(len(found)))
-        assert all(r["block"] == r["rank"] // 8 for r in found)
+    rows = [(k, rng.choice(["hot"] * 6 + ["a", "b", None]), 9) for k in range(3000)] + [(7, "hot", 9)] * 5 + [(None, "a", 9)]
+    keys = spark.createDataFrame(rows, "doc_id long, source string, slot int").withColumn("key", F.xxhash64("doc_id"))
+    for max_blocks, size in ((1000, 8), (50, 64)):
+        got = mixing.schedule(keys, ["key", "doc_id"], block_rows=8, max_blocks=max_blocks).collect()
+        assert len(got) == len(rows) and len({r["position"] for r in got}) == len(rows)
+        by_source = {}
+        for r in sorted(got, key=lambda r: r["position"]):
+            by_source.setdefault(r["source"], []).append(r)
+        for found in by_source.values():
+            assert [r["rank"] for r in found] == list(range(len(found)))
+            assert all(r["block"] == r["rank"] // size for r in found)
+        sizes = {name: len(found) for name, found in by_source.items()}
+        plain = plain_pfair(mixing.shares(mixing.tempered_weights(sizes)), {name: -(-n // size) for name, n in sizes.items()})
+        slots = {(name, block): slot for slot, name, block in plain}
+        assert all(r["slot"] == slots[(r["source"], r["block"])] for r in got)
+        assert all(r["position"] == r["slot"] * size + r["rank"] % size for r in got)
+
+
+def test_a_written_mixture_keeps_its_order(spark, tmp_path):
+    rows = [(k, "x" * (1 + 4000 * (k % 2)), "hot" if k % 3 else f"s{k % 7}", 5) for k in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, position int")
+    mixed = mixing.mix(docs.repartition(5), block_rows=4)
+    path = str(tmp_path / "mixed")
+    mixed.repartitionByRange(6, F.monotonically_increasing_id()).write.parquet(path)
+    back = common.placed(spark.read.parquet(path), "position").collect()
+    assert sorted(r["position"] for r in back) == list(range(900))
+    ids = [r["doc_id"] for r in sorted(back, key=lambda r: r["position"])]
+    assert ids == [r["doc_id"] for r in mixed.collect()] and ids != [r["doc_id"] for r in spark.read.parquet(path).collect()]
+    assert [r["position"] for r in common.placed(docs.orderBy("doc_id"), "position").select("position").collect()] != [5] * 900
 
 
 def test_mix_keeps_all_rows_and_their_columns(spark):
     rows = [(k % 50, f"text {k % 50}", None if k % 7 == 0 else f"s{k % 50 % 3}", "p") for k in range(120)] + [(None, None, None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, position string")
-    mixed = mixing.mix(docs, block_rows=4, period=16)
+    mixed = mixing.mix(docs, block_rows=4)
     assert mixed.columns == docs.columns
 
     def key(r):
