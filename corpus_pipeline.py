@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from odflow.llm import langid, mixing, neardup, secrets, sentencepiece
-from odflow.llm.common import shared_folder, table
+from odflow.llm.common import placed, shared_folder, table
 
 # A language is rejected below this posterior probability.
 MIN_LANGUAGE_SCORE = 0.5
@@ -32,13 +32,17 @@ def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents in an order that interleaves the sources by the square root of their sizes."""
+    """All documents in an order that interleaves the sources by the square root of their sizes.
+
+    The order is that of the files written, and the last stage makes it a column.
+    """
     return mixing.mix(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents with the ids of their texts, their number, and whether they decode to the text."""
-    return sentencepiece.encode(docs, sentencepiece.PieceModel.from_file(sentencepiece.MODEL_PATH))
+    """All documents with the ids of their texts, their number, whether they decode to the text, and ``position`` in the mixture."""
+    model = sentencepiece.PieceModel.from_file(sentencepiece.MODEL_PATH)
+    return sentencepiece.encode(placed(docs, "position"), model)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
