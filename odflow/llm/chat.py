@@ -18,7 +18,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The marks of the template, and control strings of other templates.
@@ -107,6 +107,32 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return frame.astype({"conv_id": "Int64", "turn": "Int64"})
 
 
+def as_log(rows: DataFrame) -> DataFrame:
+    """Finished messages (conv_id, turn, role, text) as the events of a log that led to them.
+
+    An assistant's message opens with a draft, which is streamed on, taken back and generated anew in three deltas; any other
+    one opens with a draft that is edited and then added to. Messages of one turn follow each other by role and text.
+    """
+    text, size = F.coalesce("text", F.lit("")), F.length(F.coalesce("text", F.lit("")))
+    third, half = F.floor(size / 3).cast("int"), F.floor(size / 2).cast("int")
+
+    def event(op: str, said: Column | str) -> Column:
+        return F.struct(F.lit(op).alias("op"), F.lit(said).alias("text") if isinstance(said, str) else said.alias("text"))
+
+    def part(first: Column, after: Column) -> Column:
+        return F.substring(text, first + 1, after - first)
+
+    none = F.lit(0)
+    generated = F.array(event("message", part(none, half)), event("delta", " and a draft"), event("regenerate", ""),
+                        event("delta", part(none, third)), event("delta", part(third, half)), event("delta", part(half, size)))
+    written = F.array(event("message", "a draft"), event("edit", part(none, half)), event("delta", part(half, size)))
+    number = F.row_number().over(Window.partitionBy("conv_id", "turn").orderBy("role", "text"))
+    numbered = rows.withColumn("number", number)
+    events = numbered.select("conv_id", "turn", "number", "role", F.posexplode(F.when(F.col("role") == LOSS_ROLE, generated).otherwise(written)))
+    return events.select("conv_id", "turn", (F.col("number") * 8 + F.col("pos")).cast("long").alias("seq"), F.col("col.op").alias("op"),
+                         "role", F.col("col.text").alias("text"))
+
+
 # Stands for a missing conversation or turn while rows are sorted and compared.
 NO_ID = -(1 << 63)
 

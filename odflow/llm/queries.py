@@ -44,8 +44,7 @@ def op2_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     extra = spark.createDataFrame([(-7, 0, "user", odd), (-7, 1, "assistant", odd)],
                                   "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
-    events = rows.withColumns({"seq": F.lit(0).cast("long"), "op": F.lit("message")})
-    return chat.digests(chat.format_chats(events))
+    return chat.digests(chat.format_chats(chat.as_log(rows)))
 
 
 @_register("op3_language_id")

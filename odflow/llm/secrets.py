@@ -24,7 +24,7 @@ from odflow.llm.common import packed
 Query = tuple[frozenset[str], ...]
 ANYTHING: Query = (frozenset(),)
 # Beyond these sizes a query is weakened, never narrowed.
-MAX_STRINGS, MAX_ALTERNATIVES, MAX_CLASS = 64, 64, 4
+MAX_STRINGS, MAX_ALTERNATIVES, MAX_CLASS = 64, 64, 8
 
 
 @dataclass(frozen=True)

@@ -27,7 +27,7 @@ def pages(spark):
 def test_archives_give_every_record_back(spark, tmp_path):
     rows, table = pages(spark)
     path = str(tmp_path / "warc")
-    warc.write_bundles(table.repartition(3), path, bundle_bytes=4096)
+    warc.write_bundles(table.repartition(3), path, bundle_bytes=4096, frame_bytes=2000)
     index = warc.read_index(spark, path)
     got = index.collect()
     keeper = {}
@@ -61,10 +61,35 @@ def test_a_bundle_is_a_plain_zstandard_stream(spark, tmp_path):
     packed = file.read_bytes()
     whole = zstandard.ZstdDecompressor().stream_reader(packed, read_across_frames=True).read()
     frames = warc.read_seek_table(packed)
-    assert whole.count(b"WARC/1.1\r\n") == len(frames) == 125
+    assert whole.count(b"WARC/1.1\r\n") == 125 == len(warc.read_record_map(packed)) and 3 <= len(frames) < 60
     assert sum(unpacked for _, _, unpacked in frames) == len(whole)
 
 
+def test_a_record_is_cut_out_of_one_frame(spark, tmp_path, monkeypatch):
+    rows, table = pages(spark)
+    path = tmp_path / "warc"
+    warc.write_bundles(table.coalesce(1), str(path), frame_bytes=20_000)
+    index, places = warc.read_index(spark, str(path)), warc.read_map(spark, str(path))
+    columns = ["page_id", *[field.split()[0] for field in warc.PLACE.split(", ")]]
+    assert sorted(map(str, places.select(columns).collect())) == sorted(map(str, index.select(columns).collect()))
+    per_frame = [r["count"] for r in places.groupBy("bundle", "frame").count().collect()]
+    # Frames hold several records, and the very large one has its own.
+    assert max(per_frame) > 5 and sum(per_frame) == 125 and len(per_frame) < 40
+    file, = path.glob("part-*")
+    opened = []
+    plain = zstandard.ZstdDecompressor()
+
+    class Counted:
+        def decompress(self, packed):
+            opened.append(len(packed))
+            return plain.decompress(packed)
+
+    monkeypatch.setattr(warc.zstandard, "ZstdDecompressor", Counted)
+    one = places.filter("page_id = 501").first()
+    block, = warc.records_at(file.read_bytes(), [(one["frame_offset"], one["frame_bytes"], one["offset"], one["record_bytes"])])
+    assert block == b"x" * 300_000 and opened == [one["frame_bytes"]]
+
+
 def test_an_empty_archive(spark, tmp_path):
     warc.write_bundles(spark.createDataFrame([], PAGES), str(tmp_path / "w"))
     assert warc.read_index(spark, str(tmp_path / "w")).collect() == []
