@@ -10,10 +10,14 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from odflow.functions.bins import DayRange, bin_starts, step_of_day
 from odflow.plans.prepare import TripInputs
+from odflow import schemas
+from odflow.sources import tables
 from odflow.sources.network import TimedNetwork
+from odflow.sources.quarantine import constraints, split
 
 # The service days the events cover; a routing job names its days.
 FIRST_DAY, AFTER_LAST_DAY = (2024, 1, 1), (2024, 1, 31)
@@ -231,3 +235,34 @@ SQL = {
         f"SELECT s_suppkey, n_supp, {k} AS k, {length} AS length, s_suppkey + {step} AS target FROM {_SUPPLIERS} "
         f"WHERE {where}" for k, (step, length, where) in enumerate(STEPS)) + ")") + f" WHERE {EDGE_WHERE}",
 }
+
+
+# As files in the declared schemas, read through the library's readers; ids of trips are text there, padded to keep their order.
+ID_CHARS = 12
+
+
+def _as_declared(df: DataFrame, schema: StructType) -> DataFrame:
+    return df.select(*[(F.col(field.name) if field.name in df.columns else F.lit(None)).cast(field.dataType).alias(field.name)
+                       for field in schema])
+
+
+def write_files(spark: SparkSession, sf_dir: str, folder: str, days: list[DayRange]) -> None:
+    """All input tables as Parquet below ``folder``."""
+    padded = {name: F.lpad(F.col(name).cast("string"), ID_CHARS, "0") for name in ("ptctripid", "trippassengerid")}
+    precise = {name: F.col(plain) for name, plain in tables.PRECISE_TIMES.items()}
+    found = {
+        "trips": (trips(spark, sf_dir).withColumns({**padded, **precise}), schemas.IMPUTED_TRIPS),
+        "intersections": (intersections(spark, sf_dir), schemas.INTERSECTIONS),
+        "nodes": (nodes(spark, sf_dir), schemas.NODES), "links": (links(spark, sf_dir), schemas.LINKS),
+        "gateways": (gateways(spark, sf_dir), schemas.GATEWAYS), "vertex_map": (vertex_map(spark, sf_dir), schemas.VERTEX_MAP),
+        "network": (snapshots(spark, sf_dir, days).edges.withColumnRenamed("profile", "bin_start"), schemas.NETWORK)}
+    for name, (df, schema) in found.items():
+        _as_declared(df, schema).write.parquet(f"{folder}/{name}")
+
+
+def read_inputs(spark: SparkSession, folder: str) -> TripInputs:
+    """The trip inputs from the files, without rows that break a constraint."""
+    read = {"trips": tables.read_imputed_trips, "intersections": tables.read_intersections, "nodes": tables.read_nodes,
+            "links": tables.read_links, "gateways": tables.read_gateways}
+    return TripInputs(*[split(reader(spark, f"{folder}/{name}"), constraints(name), f"{folder}/split-{name}").good
+                        for name, reader in read.items()])

@@ -20,7 +20,10 @@ from odflow.plans import prepare as prep
 from odflow.plans import routing
 from odflow.plans.journal import BinRun, read_routed_bins, run_bins
 from odflow.runtime import checkpointed, shared_folder
+from odflow.sources import tables
 from odflow.sources.network import TimedNetwork
+from odflow.sources.quarantine import constraints, split
+from odflow.sources.versions import lookup
 from odflow.plans.views import ALL_IMPUTED, CITY, CITY_AS_WRITTEN, CITY_SENTINEL, EXTERNAL, ViewSpec
 
 DAYS = [(date(*fixtures.FIRST_DAY), date(*fixtures.AFTER_LAST_DAY))]
@@ -270,6 +273,49 @@ def routed_trips_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_routed_bins(spark, run, schema)
 
 
+_IDS = ", ".join(f"lpad(CAST({name} AS VARCHAR), {fixtures.ID_CHARS}, '0') AS {name}" for name in ("ptctripid", "trippassengerid"))
+
+
+def _inputs_from_files(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+    folder = shared_folder(spark, "inputs")
+    fixtures.write_files(spark, sf_dir, folder, DAYS)
+    tables.write_prepared(prep.prepare(fixtures.read_inputs(spark, folder), ALL_IMPUTED, DAYS), f"{folder}/prepared")
+    return folder, tables.read_prepared(spark, f"{folder}/prepared")
+
+
+@_register("prepared_from_files", f"""SELECT service_date, mlsassignedptc, {_IDS}, pickup_datetime, pickup_gc_intersection_id, source,
+    dropoff_datetime, dropoff_gc_intersection_id, target, pooled, ext_trip FROM all_imputed_prepared
+    WHERE service_date >= DATE '2024-01-01' AND service_date < DATE '2024-01-31'""")
+def prepared_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tables written in their declared schemas, read, split by constraints, prepared, stored and read back."""
+    return _inputs_from_files(spark, sf_dir)[1].select(*PREPARED.split(", "), "pooled", "ext_trip")
+
+
+@_register("lookup_trips", f"""SELECT service_date, bin_start, mlsassignedptc, {_IDS}, start_vid, end_vid, path_seq, node, edge,
+    CAST(cost AS DOUBLE) AS cost, CAST(agg_cost AS DOUBLE) AS agg_cost FROM routed_snapshots
+    WHERE ptctripid IN (SELECT ptctripid FROM all_imputed_prepared WHERE pooled AND service_date >= DATE '2024-01-01'
+      AND service_date < DATE '2024-01-31')""")
+def lookup_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The routed rows of all pooled trips, looked up in the table that a job over the files wrote."""
+    folder, prepared = _inputs_from_files(spark, sf_dir)
+    network = TimedNetwork.from_table(split(tables.read_network(spark, f"{folder}/network"), constraints("network"),
+                                            f"{folder}/split-network").good)
+    records = routing.run_jobs(spark, [routing.RouteJob(DAYS, f"{folder}/prepared", f"{folder}/routed")],
+                               tables.read_vertex_map(spark, f"{folder}/vertex_map"), network)
+    if records[0].error is not None:
+        raise RuntimeError(records[0].error)
+    return lookup(tables.read_routed(spark, f"{folder}/routed"), prepared.filter("pooled").select("ptctripid"))
+
+
+@_register("quarantine_counts", """SELECT 'point' AS fault, count(*) AS rows FROM intersections WHERE x IS NULL
+    UNION ALL SELECT 'far', count(*) FILTER (x > 100000 OR y > 100000) FROM intersections HAVING count(*) FILTER (x > 100000 OR y > 100000) > 0""")
+def quarantine_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intersections that a stricter reader would set aside: those without a point, and those a hundred kilometres away."""
+    rules = {"point": F.col("x").isNotNull() & F.col("y").isNotNull(),
+             "far": F.coalesce((F.col("x") <= 100_000) & (F.col("y") <= 100_000), F.lit(True))}
+    return split(fixtures.intersections(spark, sf_dir), rules, shared_folder(spark, "quarantine")).counts()
+
+
 @_register("bin_audit", """SELECT service_date, bin_start, CAST(sum(prepared) AS BIGINT) AS prepared,
     CAST(sum(routed) AS BIGINT) AS routed, CAST(sum(unreachable) AS BIGINT) AS unreachable,
     CAST(sum(same_vertex) AS BIGINT) AS same_vertex, CAST(sum(no_vertex) AS BIGINT) AS no_vertex,
