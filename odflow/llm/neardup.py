@@ -6,9 +6,9 @@ of values in which they differ. Signatures are cut into chunks; by the pigeonhol
 within distance ``2 * chunks - 1`` agree in some chunk up to one error, so every class is filed under
 each chunk with each one value left out, and all pairs within the distance meet.
 
-Nothing is emitted per pair. Within a file the pairs under the distance are joined to a forest; the loose
-groups that the forests make up bring the shingle sets of similar texts together once, in blocks of bounded
-size, where each link is confirmed on the full sets and again only a forest leaves the task.
+Nothing is emitted per pair. Within a file the pairs under the distance are joined to a forest, and forests make up loose
+groups. Links are confirmed on the full sets: each text of a loose group with one representative first, and those that
+are not linked to it with all others, in blocks of bounded size of which again only a forest leaves the task.
 
 Two classes at the similarity of 0.85 that is asked for miss the guaranteed distance with a probability
 under 2e-7, and even then mostly meet.
@@ -31,6 +31,8 @@ from odflow.runtime import checkpointed
 SHINGLE_WORDS = 5
 # Sets of all texts of a block, in shingles; a task that confirms links holds two blocks.
 BLOCK_SHINGLES = 300_000
+# Texts of a block at most, about.
+BLOCK_TEXTS = 256
 # Members of one file that are compared with each other; a larger file is one loose group.
 FILE_MEMBERS = 256
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -323,21 +325,35 @@ def _links_within(nodes: list[int], sets: list[np.ndarray], left: int, percent:
     return out
 
 
+def _star(percent: int, words: int):
+    """Of the members of a part, with the group's representative among them, the links to the representative."""
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        centre = group[group["is_centre"]]
+        others = group[~group["is_centre"]]
+        own = shingle_set(centre["text"].iloc[0], words)
+        linked = [node for node, text in zip(others["node"].tolist(), others["text"], strict=True)
+                  if similar(own, shingle_set(text, words), percent)]
+        found = pd.DataFrame({"a": [int(centre["node"].iloc[0])] * len(linked), "b": linked})
+        return found.astype("int64")
+    return run
+
+
 def _confirm(percent: int, words: int):
-    def run(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        _, first, second = key
-        group = group.sort_values(["block", "node"])
-        left = int((group["block"] == first).sum()) if first != second else 0
+    """Links of the open texts of a block to each other and to the texts of another block."""
+    def run(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values(["is_open", "node"]).drop_duplicates("node", keep="last")
+        left = int((~group["is_open"]).sum())
         sets = [shingle_set(text, words) for text in group["text"]]
         found = _links_within(group["node"].tolist(), sets, left, percent)
+        if left:
+            # From the first open text on each is compared with the closed ones; the open ones are compared here.
+            found += _links_within(group["node"].tolist()[left:], sets[left:], 0, percent)
         return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
     return run
 
 
-def _pairs_of_blocks(block: Column, blocks: Column) -> Column:
-    """All pairs of blocks that hold ``block``, the smaller first."""
-    return F.transform(F.sequence(F.lit(0).cast("long"), blocks - 1),
-                       lambda other: F.struct(F.least(block, other).alias("first"), F.greatest(block, other).alias("second")))
+def _numbers(count: Column) -> Column:
+    return F.explode(F.sequence(F.lit(0).cast("long"), count - 1))
 
 
 @dataclass(frozen=True)
@@ -366,20 +382,46 @@ def find(docs: DataFrame, percent: int = 85, shape: Signatures = Signatures(), w
               .sortWithinPartitions("file", "node"))
     loose = components(signed.mapInPandas(_loose_links(shape), "a long, b long"))
     members = loose.join(classes.select("node", "n_shingles", "text_of"), "node")
-    blocks = members.groupBy("root").agg(F.ceil(F.sum("n_shingles") / block_shingles).alias("blocks"))
-    dealt = (members.join(blocks, "root")
-             .select("node", "root", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"), "text_of.*"))
-    return NearDuplicates(described.drop("sign"), components(_confirmed(docs, checkpointed(dealt), percent, words)))
+    wanted = checkpointed(members.select("node", "root", "n_shingles", "text_of.*"))
+    return NearDuplicates(described.drop("sign"), components(_confirmed(docs, wanted, percent, words, block_shingles)))
+
 
+def _blocks(members: DataFrame, block_shingles: int, name: str) -> DataFrame:
+    """How many blocks the texts of each group make, by their number and by their shingles."""
+    size = F.greatest(F.ceil(F.sum("n_shingles") / block_shingles), F.ceil(F.count("*") / BLOCK_TEXTS))
+    return members.groupBy("root").agg(size.alias(name))
 
-def _confirmed(docs: DataFrame, wanted: DataFrame, percent: int, words: int) -> DataFrame:
-    """Links of the wanted classes that hold on the full sets, a forest of each pair of blocks."""
+
+def _confirmed(docs: DataFrame, wanted: DataFrame, percent: int, words: int, block_shingles: int) -> DataFrame:
+    """Links of the wanted classes (node, root, n_shingles, key_id, key_text) that hold on the full sets, as forests.
+
+    First every member of a loose group is compared with one representative, in parts of bounded size that are each
+    sent a copy of it. Members linked to it are one group and need no comparison with each other. The
+    rest, open texts, are compared with all texts of their loose group, block by block.
+    """
     texts = _keyed(docs.select("doc_id", "text")).drop("doc_id").join(wanted, ["key_id", "key_text"])
     # Repeated rows are one text.
-    texts = texts.groupBy("node", "root", "blocks", "block").agg(F.first("text").alias("text"))
-    pairs = texts.select("node", "root", "block", "text", F.explode(_pairs_of_blocks(F.col("block"), F.col("blocks"))).alias("p"))
-    return (pairs.select("node", "root", "block", "text", "p.first", "p.second").groupBy("root", "first", "second")
-            .applyInPandas(_confirm(percent, words), "a long, b long"))
+    texts = checkpointed(texts.groupBy("node", "root", "n_shingles").agg(F.first("text").alias("text")))
+    blocks = checkpointed(_blocks(wanted, block_shingles, "blocks").join(
+        wanted.groupBy("root").agg(F.min("node").alias("centre")), "root"))
+    member = (texts.join(blocks, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))))
+    others = member.filter("node <> centre").select("node", "root", "block", "text", F.lit(False).alias("is_centre"))
+    centres = member.filter("node = centre").select("node", "root", _numbers(F.col("blocks")).alias("block"), "text",
+                                                    F.lit(True).alias("is_centre"))
+    stars = checkpointed(others.unionByName(centres).groupBy("root", "block").applyInPandas(_star(percent, words), "a long, b long"))
+    open_ = (wanted.join(blocks, "root").filter("node <> centre")
+             .join(stars.select(F.col("b").alias("node")), "node", "left_anti").select("node", "root", "n_shingles"))
+    open_ = checkpointed(open_)
+    open_blocks = _blocks(open_, block_shingles, "open_blocks")
+    # Only groups with open texts go on; each pair of blocks meets once.
+    waiting = member.join(open_blocks, "root").join(open_.select("node", F.lit(True).alias("is_open")), "node", "left")
+    waiting = waiting.withColumns({"is_open": F.coalesce("is_open", F.lit(False)),
+                                   "open_block": F.pmod(F.xxhash64("node"), F.col("open_blocks"))})
+    row = ["root", "node", "text"]
+    asking = waiting.filter("is_open").select(*row, "open_block", _numbers(F.col("blocks")).alias("block"), F.lit(True).alias("is_open"))
+    asked = waiting.select(*row, _numbers(F.col("open_blocks")).alias("open_block"), "block", F.lit(False).alias("is_open"))
+    found = asking.unionByName(asked).groupBy("root", "open_block", "block").applyInPandas(_confirm(percent, words), "a long, b long")
+    return stars.unionByName(found)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, shape: Signatures = Signatures(), words: int = SHINGLE_WORDS,
