@@ -399,26 +399,26 @@ def _confirmed(docs: DataFrame, wanted: DataFrame, percent: int, words: int, blo
     sent a copy of it. Members linked to it are one group and need no comparison with each other. The
     rest, open texts, are compared with all texts of their loose group, block by block.
     """
-    texts = _keyed(docs.select("doc_id", "text")).drop("doc_id").join(wanted, ["key_id", "key_text"])
+    blocks = _blocks(wanted, block_shingles, "blocks").join(wanted.groupBy("root").agg(F.min("node").alias("centre")), "root")
+    # Blocks are dealt before texts are met, so no text is ever shuffled by its group alone.
+    placed = checkpointed(wanted.join(blocks, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))))
+    texts = _keyed(docs.select("doc_id", "text")).drop("doc_id").join(placed.select("node", "key_id", "key_text"), ["key_id", "key_text"])
     # Repeated rows are one text.
-    texts = checkpointed(texts.groupBy("node", "root", "n_shingles").agg(F.first("text").alias("text")))
-    blocks = checkpointed(_blocks(wanted, block_shingles, "blocks").join(
-        wanted.groupBy("root").agg(F.min("node").alias("centre")), "root"))
-    member = (texts.join(blocks, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))))
-    others = member.filter("node <> centre").select("node", "root", "block", "text", F.lit(False).alias("is_centre"))
-    centres = member.filter("node = centre").select("node", "root", _numbers(F.col("blocks")).alias("block"), "text",
-                                                    F.lit(True).alias("is_centre"))
-    stars = checkpointed(others.unionByName(centres).groupBy("root", "block").applyInPandas(_star(percent, words), "a long, b long"))
-    open_ = (wanted.join(blocks, "root").filter("node <> centre")
-             .join(stars.select(F.col("b").alias("node")), "node", "left_anti").select("node", "root", "n_shingles"))
-    open_ = checkpointed(open_)
-    open_blocks = _blocks(open_, block_shingles, "open_blocks")
-    # Only groups with open texts go on; each pair of blocks meets once.
-    waiting = member.join(open_blocks, "root").join(open_.select("node", F.lit(True).alias("is_open")), "node", "left")
-    waiting = waiting.withColumns({"is_open": F.coalesce("is_open", F.lit(False)),
-                                   "open_block": F.pmod(F.xxhash64("node"), F.col("open_blocks"))})
+    texts = checkpointed(texts.groupBy("node").agg(F.first("text").alias("text")))
+    member = placed.select("node", "root", "block", "blocks", (F.col("node") == F.col("centre")).alias("is_centre")).join(texts, "node")
     row = ["root", "node", "text"]
-    asking = waiting.filter("is_open").select(*row, "open_block", _numbers(F.col("blocks")).alias("block"), F.lit(True).alias("is_open"))
+    parts = (member.filter("NOT is_centre").select(*row, "block", "is_centre")
+             .unionByName(member.filter("is_centre").select(*row, _numbers(F.col("blocks")).alias("block"), "is_centre")))
+    stars = checkpointed(parts.groupBy("root", "block").applyInPandas(_star(percent, words), "a long, b long"))
+    open_ = checkpointed(placed.filter("node <> centre").join(stars.select(F.col("b").alias("node")), "node", "left_anti")
+                         .select("node", "root", "n_shingles"))
+    # Only groups with open texts go on; each pair of blocks meets once.
+    waiting = (placed.join(_blocks(open_, block_shingles, "open_blocks"), "root")
+               .join(open_.select("node", F.lit(True).alias("is_open")), "node", "left")
+               .select("node", "root", "block", "blocks", "open_blocks", F.coalesce("is_open", F.lit(False)).alias("is_open"))
+               .withColumn("open_block", F.pmod(F.xxhash64("node"), F.col("open_blocks"))))
+    waiting = checkpointed(waiting).join(texts, "node")
+    asking = waiting.filter("is_open").select(*row, "open_block", _numbers(F.col("blocks")).alias("block"), "is_open")
     asked = waiting.select(*row, _numbers(F.col("open_blocks")).alias("open_block"), "block", F.lit(False).alias("is_open"))
     found = asking.unionByName(asked).groupBy("root", "open_block", "block").applyInPandas(_confirm(percent, words), "a long, b long")
     return stars.unionByName(found)
