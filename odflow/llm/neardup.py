@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from odflow.llm.common import packed
-from odflow.runtime import checkpointed
+from odflow.runtime import broadcast_if_small, checkpointed
 
 SHINGLE_WORDS = 5
 # Sets of all texts of a block, in shingles; a task that confirms links holds two blocks.
@@ -399,9 +399,10 @@ def _confirmed(docs: DataFrame, wanted: DataFrame, percent: int, words: int, blo
     sent a copy of it. Members linked to it are one group and need no comparison with each other. The
     rest, open texts, are compared with all texts of their loose group, block by block.
     """
-    blocks = _blocks(wanted, block_shingles, "blocks").join(wanted.groupBy("root").agg(F.min("node").alias("centre")), "root")
+    blocks = checkpointed(_blocks(wanted, block_shingles, "blocks").join(
+        wanted.groupBy("root").agg(F.min("node").alias("centre")), "root"))
     # Blocks are dealt before texts are met, so no text is ever shuffled by its group alone.
-    placed = checkpointed(wanted.join(blocks, "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))))
+    placed = checkpointed(wanted.join(broadcast_if_small(blocks), "root").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks"))))
     texts = _keyed(docs.select("doc_id", "text")).drop("doc_id").join(placed.select("node", "key_id", "key_text"), ["key_id", "key_text"])
     # Repeated rows are one text.
     texts = checkpointed(texts.groupBy("node").agg(F.first("text").alias("text")))
@@ -413,7 +414,8 @@ def _confirmed(docs: DataFrame, wanted: DataFrame, percent: int, words: int, blo
     open_ = checkpointed(placed.filter("node <> centre").join(stars.select(F.col("b").alias("node")), "node", "left_anti")
                          .select("node", "root", "n_shingles"))
     # Only groups with open texts go on; each pair of blocks meets once.
-    waiting = (placed.join(_blocks(open_, block_shingles, "open_blocks"), "root")
+    open_blocks = checkpointed(_blocks(open_, block_shingles, "open_blocks"))
+    waiting = (placed.join(broadcast_if_small(open_blocks), "root")
                .join(open_.select("node", F.lit(True).alias("is_open")), "node", "left")
                .select("node", "root", "block", "blocks", "open_blocks", F.coalesce("is_open", F.lit(False)).alias("is_open"))
                .withColumn("open_block", F.pmod(F.xxhash64("node"), F.col("open_blocks"))))
