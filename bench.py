@@ -16,7 +16,7 @@ from checks.queries import QUERIES
 
 # All thirty days of trips, for the preparations and the routing alike.
 HEADLINE = ["nearest_node", "prepared_city", "prepared_city_sentinel", "prepared_external", "prepared_all",
-            "od_pairs", "od_batches", "network_for_bins", "routed_trips"]
+            "od_pairs", "od_batches", "network_for_bins", "routed_trips", "path_rows_streets"]
 
 
 def main() -> None:
