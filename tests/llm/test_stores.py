@@ -267,16 +267,44 @@ def test_top_k_equals_brute_force(spark, shard_rows):
     assert mtree.top_k(nothing, nothing).collect() == []
 
 
-def test_pages_are_pruned():
+def test_pages_are_pruned(monkeypatch):
     rng = np.random.default_rng(6)
     values = (1024 * (np.repeat(np.eye(16), 200, axis=0) + 0.01 * rng.normal(size=(3200, 16)))).astype(np.int64)
-    points = mtree.lifted(values)
-    root = mtree.build(points)
-    opened = []
-    plain = mtree._distances
-    try:
-        mtree._distances = lambda p, c: opened.append(len(p)) or plain(p, c)
-        mtree.search(root, points, values, np.arange(3200), values[0], 0, 5)
-    finally:
-        mtree._distances = plain
-    assert sum(opened) < 3200
+    root = mtree.build(mtree.lifted(values))
+    met = []
+    plain = mtree._products
+
+    def counted(values, queries):
+        product = plain(values, queries)
+        return lambda asked, rows: met.append(len(asked) * len(rows)) or product(asked, rows)
+
+    monkeypatch.setattr(mtree, "_products", counted)
+    ids = np.arange(3200)
+    at, scores, best = mtree.search(root, values, ids, values[:1], ids[:1], 5)
+    assert sum(met) < 3200
+    plain_scores = values[1:] @ values[0]
+    order = np.lexsort((ids[1:], -plain_scores))[:5]
+    assert best.tolist() == ids[1:][order].tolist() and scores.tolist() == plain_scores[order].tolist()
+
+
+@pytest.mark.parametrize("size", [1, 1 << 24, 3_000_000_000])
+def test_waves_find_what_all_products_give(size):
+    rng = np.random.default_rng(size % 97)
+    values = rng.integers(-size, size + 1, size=(700, 5))
+    values[100:300] = values[100]
+    if size > 1 << 30:
+        values //= 4
+    ids = rng.permutation(700)
+    root = mtree.build(mtree.lifted(values), page_entries=8)
+    asked = np.arange(0, 700, 9)
+    at, scores, best = mtree.search(root, values, ids, values[asked], ids[asked], 7)
+    for n, row in enumerate(asked.tolist()):
+        exact = sorted((-sum(int(a) * int(b) for a, b in zip(values[row], other, strict=True)), int(key))
+                       for key, other in zip(ids, values, strict=True) if key != ids[row])[:7]
+        assert [(-int(score), int(key)) for score, key in zip(scores[at == n], best[at == n], strict=True)] == exact
+
+
+def test_a_score_beyond_64_bits_is_an_error():
+    values = np.full((3, 4), 1 << 31, dtype=np.int64) * 4
+    with pytest.raises(OverflowError):
+        mtree.search(mtree.build(mtree.lifted(values)), values, np.arange(3), values, np.arange(3), 2)
