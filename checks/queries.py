@@ -66,6 +66,13 @@ def nearest_node(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snap_nearest(fixtures.intersections(spark, sf_dir), places)
 
 
+@_register("nearest_node_by_cells", "SELECT x, y, best.node AS node_id, best.d AS d2 FROM snapped")
+def nearest_node_by_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as if no level of cells were small enough to be broadcast."""
+    places = routable_nodes(fixtures.nodes(spark, sf_dir), fixtures.links(spark, sf_dir))
+    return snap_nearest(fixtures.intersections(spark, sf_dir), places, broadcast_rows=0)
+
+
 _ENDS = "mlsassignedptc, ptctripid, trippassengerid, pickup_datetime, source, target"
 
 
@@ -82,10 +89,10 @@ def snap_city(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _placed(spark, sf_dir, ViewSpec("guarded", snap="city")).select(*_ENDS.split(", "))
 
 
-def _gateway(spark: SparkSession, sf_dir: str, direction: str, mun: str, near: str) -> DataFrame:
+def _gateway(spark: SparkSession, sf_dir: str, direction: str, mun: str, near: str, **options) -> DataFrame:
     points = fixtures.intersections(spark, sf_dir).withColumnRenamed("int_id", near)
     trips = fixtures.trips(spark, sf_dir).join(points, near)
-    chosen = match_gateway(trips, fixtures.gateways(spark, sf_dir), direction, mun, "x", "y", "gate")
+    chosen = match_gateway(trips, fixtures.gateways(spark, sf_dir), direction, mun, "x", "y", "gate", **options)
     return chosen.select("mlsassignedptc", "ptctripid", "trippassengerid", "pickup_datetime", "gate")
 
 
@@ -101,6 +108,19 @@ def gateway_origin(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _gateway(spark, sf_dir, "inbound", "pickup_mun_id", "dropoff_gc_intersection_id")
 
 
+@_register("gateway_dest_by_cells", """SELECT mlsassignedptc, ptctripid, trippassengerid, pickup_datetime, gate
+    FROM ends LEFT JOIN gate_out USING (rid)""")
+def gateway_dest_by_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as if the gateways were too many for lists and broadcasts."""
+    return _gateway(spark, sf_dir, "outbound", "dropoff_mun_id", "pickup_gc_intersection_id", short=False, broadcast_rows=0)
+
+
+@_register("gateway_origin_by_cells", """SELECT mlsassignedptc, ptctripid, trippassengerid, pickup_datetime, gate
+    FROM ends LEFT JOIN gate_in USING (rid)""")
+def gateway_origin_by_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _gateway(spark, sf_dir, "inbound", "pickup_mun_id", "dropoff_gc_intersection_id", short=False, broadcast_rows=0)
+
+
 @_register("endpoint_resolved", f"SELECT {_ENDS} FROM external_trips WHERE service_date >= DATE '2024-01-01'")
 def endpoint_resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _placed(spark, sf_dir, EXTERNAL).select(*_ENDS.split(", "))
@@ -174,6 +194,24 @@ def query_od_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return routing.od_batches(_prepared(spark, sf_dir), fixtures.vertex_map(spark, sf_dir), DAYS)
 
 
+ARRAY_PAIRS = 3
+
+
+@_register("od_batch_arrays", f"""SELECT service_date, bin_start, batch, part, count(*) AS n_pairs,
+    string_agg(CAST(source AS VARCHAR), ',' ORDER BY place) AS sources, string_agg(CAST(target AS VARCHAR), ',' ORDER BY place) AS targets
+    FROM (SELECT *, (place - 1) // {ARRAY_PAIRS} AS part FROM (
+      SELECT *, row_number() OVER (PARTITION BY service_date, bin_start, batch ORDER BY ptctripid NULLS LAST, source, target) AS place
+      FROM (SELECT b.service_date, b.bin_start, dense_rank() OVER (PARTITION BY b.service_date, b.bin_start
+        ORDER BY ptctripid NULLS LAST) // 250 AS batch, b.ptctripid, s.vertex_id AS source, t.vertex_id AS target FROM binned b
+        JOIN vertices s ON s.node_id = b.source JOIN vertices t ON t.node_id = b.target WHERE b.bin_start IS NOT NULL)))
+    GROUP BY service_date, bin_start, batch, part""")
+def od_batch_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The arrays of all batches, short ones, so that batches have several; spelled out as text."""
+    arrays = routing.batch_arrays(query_od_batches(spark, sf_dir), ARRAY_PAIRS)
+    return arrays.select("service_date", "bin_start", "batch", "part", F.size("sources").cast("long").alias("n_pairs"),
+                         *[F.array_join(F.col(name).cast("array<string>"), ",").alias(name) for name in ("sources", "targets")])
+
+
 @_register("trips_with_ends", """SELECT service_date, bin_start, mlsassignedptc, ptctripid, trippassengerid, source, target
     FROM od_trips""")
 def query_trips_with_ends(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odflow.functions.geo import squared_distance, within
-from odflow.runtime import broadcast_if_small
+from odflow.operators.dealt import SHARE_ROWS, dealt_join
+from odflow.operators.snap import snap_nearest
+from odflow.runtime import BROADCAST_ROWS, checkpointed
 
 # Within this many metres a trip uses the 'shorter_points', beyond it the 'longer_points'.
 NEAR_METRES = 3000
@@ -35,17 +37,18 @@ def is_short(gateways: DataFrame) -> bool:
 
 
 def match_gateway(trips: DataFrame, gateways: DataFrame, direction: str,
-                  mun: str, x: str, y: str, out: str, short: bool | None = None) -> DataFrame:
+                  mun: str, x: str, y: str, out: str, short: bool | None = None,
+                  broadcast_rows: int = BROADCAST_ROWS, share_rows: int = SHARE_ROWS) -> DataFrame:
     """Add column ``out``: the gateway node for municipality ``mun`` seen from (x, y), or NULL.
 
     The usual gateway table is tiny: each municipality's gateways are joined as one list and
     the choice is a column expression, so trips are not shuffled. A table too large for
-    that is matched once per distinct (municipality, place) instead. ``short`` passes on a
+    that is matched once per distinct (municipality, place) instead, by cells and not by pairs. ``short`` passes on a
     size check that was already made.
     """
     usable = _open_for(gateways, direction)
     if not (is_short(gateways) if short is None else short):
-        return _match_by_place(trips, usable, mun, x, y, out)
+        return _match_by_place(trips, usable, mun, x, y, out, broadcast_rows, share_rows)
     lists = usable.groupBy(F.col("mun_id").alias("_mun")).agg(
         F.collect_list(F.struct("node_id", "x", "y", "short_long")).alias("_gates"))
 
@@ -58,14 +61,16 @@ def match_gateway(trips: DataFrame, gateways: DataFrame, direction: str,
             .withColumn(out, F.array_min(ranked)["node_id"]).drop("_mun", "_gates"))
 
 
-def _match_by_place(trips: DataFrame, usable: DataFrame, mun: str, x: str, y: str, out: str) -> DataFrame:
-    gates = broadcast_if_small(usable.select(F.col("mun_id").alias("_mun"), "node_id", "short_long",
-                                             F.col("x").alias("_gx"), F.col("y").alias("_gy")))
-    asked = (trips.select(F.col(mun).alias("_mun"), F.col(x).alias("_x"), F.col(y).alias("_y"))
-             .dropna().distinct())
-    d2 = squared_distance(F.col("_x"), F.col("_y"), F.col("_gx"), F.col("_gy"))
-    chosen = (asked.join(gates, "_mun").withColumn("_d2", d2)
-              .filter(_eligible(F.col("_d2"), F.col("short_long")))
-              .groupBy("_mun", "_x", "_y").agg(F.min(F.struct("_d2", "node_id"))["node_id"].alias(out)))
-    same_place = (F.col(mun) == F.col("_mun")) & (F.col(x) == F.col("_x")) & (F.col(y) == F.col("_y"))
-    return trips.join(chosen, same_place, "left").drop("_mun", "_x", "_y")
+def _match_by_place(trips: DataFrame, usable: DataFrame, mun: str, x: str, y: str, out: str,
+                    broadcast_rows: int, share_rows: int) -> DataFrame:
+    """Of the near ones the nearest, or else of the far ones: two searches for nearest places within the municipality."""
+    asked = checkpointed(trips.select(F.col(mun).alias("mun_id"), F.col(x).alias("x"), F.col(y).alias("y")).dropna().distinct())
+
+    def nearest(kind: str, beyond: float | None = None) -> DataFrame:
+        return snap_nearest(asked, usable.filter(F.col("short_long") == kind), broadcast_rows, "mun_id", beyond, share_rows)
+
+    found = nearest(SHORTER).filter(within(F.col("d2"), NEAR_METRES)).unionByName(nearest(LONGER, NEAR_METRES))
+    chosen = (found.groupBy(F.col("mun_id").alias("_mun"), F.col("x").alias("_x"), F.col("y").alias("_y"))
+              .agg(F.min(F.struct("d2", "node_id"))["node_id"].alias(out)))
+    # Very many trips may end at one place.
+    return dealt_join(trips, chosen, [(mun, "_mun"), (x, "_x"), (y, "_y")], "left", share_rows).drop("_mun", "_x", "_y")

@@ -26,19 +26,25 @@ def range_chunks(df: DataFrame, order: list[str], rows_per_chunk: int = ROWS_PER
     return checkpointed(ranged.withColumn("chunk", F.spark_partition_id()))
 
 
-def dense_rank_in(df: DataFrame, group: list[str], value: str, out: str) -> DataFrame:
-    """Add the dense rank of ``value`` within ``group``, for groups of any size.
+def numbered_in(df: DataFrame, group: list[str], order: list[str], out: str,
+                rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+    """Add the running number, from 1, of each row within ``group`` by ``order``, for groups of any size.
 
-    The distinct values are range-partitioned and numbered chunk by chunk; a chunk's numbers
-    start after the counts of the group's earlier chunks.
+    Rows are range-partitioned and numbered chunk by chunk; a chunk's numbers start after the counts of the
+    group's earlier chunks. NULLs are last. Equal rows follow each other in any order.
     """
-    values = range_chunks(df.select(*group, value).distinct(), [*group, value])
-    in_chunk = Window.partitionBy(*group, "chunk").orderBy(F.col(value).asc_nulls_last())
+    chunks = range_chunks(df, [*group, *order], rows_per_chunk)
+    in_chunk = Window.partitionBy(*group, "chunk").orderBy(*[F.col(name).asc_nulls_last() for name in order], "tie")
     earlier = Window.partitionBy(*group).orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
-    counts = values.groupBy(*group, "chunk").count()
+    counts = chunks.groupBy(*group, "chunk").count()
     offsets = counts.select(*group, "chunk", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before"))
-    ranks = (_join_nullable(values.withColumn("n", F.row_number().over(in_chunk)), offsets, [*group, "chunk"])
-             .select(*group, value, (F.col("before") + F.col("n")).alias(out)))
+    return (_join_nullable(chunks.withColumn("n", F.row_number().over(in_chunk)), offsets, [*group, "chunk"])
+            .select(*df.columns, (F.col("before") + F.col("n")).alias(out)))
+
+
+def dense_rank_in(df: DataFrame, group: list[str], value: str, out: str) -> DataFrame:
+    """Add the dense rank of ``value`` within ``group``, for groups of any size: the running number of its distinct values."""
+    ranks = numbered_in(df.select(*group, value).distinct(), group, [value], out)
     # NULL is a value and has a rank like the others.
     return _join_nullable(df, ranks, [*group, value])
 

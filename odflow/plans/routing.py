@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from odflow.functions.bins import DayRange, bin_of, bins_of, in_days
 from odflow.operators.paths import PAIR, Search, od_pairs, pair_paths, path_rows, search
-from odflow.operators.ranges import dense_rank_in
+from odflow.operators.ranges import dense_rank_in, numbered_in
 from odflow.runtime import broadcast_if_small, checkpointed
 from odflow.sources.network import TimedNetwork
 from odflow.sources.tables import read_prepared, write_audit, write_routed
@@ -18,9 +18,9 @@ from odflow.sources.tables import read_prepared, write_audit, write_routed
 log = logging.getLogger(__name__)
 
 TRIP = ["mlsassignedptc", "ptctripid", "trippassengerid"]
-# Trip ranks per batch of origins and destinations, and arrays per batch.
+# Trip ranks per batch of origins and destinations, and the most pairs of an array.
 BATCH_RANKS = 250
-BATCH_PARTS = 8
+ARRAY_PAIRS = 100_000
 # Rows without an end match no path; they are dealt out over this many keys of their own.
 LOOSE_KEYS = 64
 
@@ -81,17 +81,18 @@ def od_batches(prepared: DataFrame, vertex_map: DataFrame, days: list[DayRange],
     return ranked.select(*group, batch.alias("batch"), "ptctripid", "source", "target")
 
 
-def batch_arrays(batches: DataFrame, parts: int = BATCH_PARTS) -> DataFrame:
+def batch_arrays(batches: DataFrame, array_pairs: int = ARRAY_PAIRS) -> DataFrame:
     """The pairs of ``od_batches`` as parallel arrays: (service_date, bin_start, batch, part, sources, targets).
 
-    Every batch is dealt out over the same number of parts, by a hash of the pair, so that a trip id
-    with very many pairs fills several arrays; a part without pairs has no row.
+    The pairs of a batch are numbered by trip id, source and target; every ``array_pairs`` of them fill an
+    array, so a batch has as many arrays as its pairs need, and a trip id with very many of them several.
     """
-    part = F.pmod(F.xxhash64("source", "target"), F.lit(parts)).cast("int").alias("part")
-    arrays = (batches.select("service_date", "bin_start", "batch", part, F.struct("source", "target").alias("pair"))
-              .groupBy("service_date", "bin_start", "batch", "part").agg(F.collect_list("pair").alias("pairs")))
-    return arrays.select("service_date", "bin_start", "batch", "part", F.col("pairs.source").alias("sources"),
-                         F.col("pairs.target").alias("targets"))
+    batch = ["service_date", "bin_start", "batch"]
+    numbered = numbered_in(batches, batch, ["ptctripid", "source", "target"], "place")
+    part = F.call_function("div", F.col("place") - 1, F.lit(array_pairs).cast("long")).alias("part")
+    arrays = (numbered.select(*batch, part, F.struct("place", "source", "target").alias("pair"))
+              .groupBy(*batch, "part").agg(F.array_sort(F.collect_list("pair")).alias("pairs")))
+    return arrays.select(*batch, "part", F.col("pairs.source").alias("sources"), F.col("pairs.target").alias("targets"))
 
 
 @dataclass(frozen=True)

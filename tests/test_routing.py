@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from odflow import RouteJob, TimedNetwork, run_jobs
 from odflow.functions.bins import bins_of, in_days, step_of_day
+from odflow.operators.ranges import numbered_in
 from odflow.plans.routing import batch_arrays, od_batches, with_bins
 from odflow.runtime import session_conf
 from odflow.sources.tables import read_routed, write_prepared
@@ -91,6 +92,19 @@ def test_batches(spark):
     assert all(s == 10 and t == 30 for r in arrays for s, t in zip(r.sources, r.targets, strict=True))
 
 
+def test_arrays_follow_the_pairs_of_a_hot_trip(spark):
+    rows = [row("hot", str(i), at(8, 0), 1 + i % 2, 3) for i in range(3000)] + [row("a", "1", at(8, 0), 1, 3)]
+    rows += [row(None, str(i), at(8, 0), 2, 3) for i in range(30)]
+    pairs = od_batches(spark.createDataFrame(rows, PREPARED), tables(spark)[1], DAY)
+    arrays = batch_arrays(pairs, 100).orderBy("batch", "part").collect()
+    # Three trip ids are one batch; all its arrays but the last are full.
+    assert [len(r.sources) for r in arrays] == [100] * 30 + [31] and [r.part for r in arrays] == list(range(31))
+    assert [s for r in arrays for s in r.sources] == [10] + [10] * 1500 + [20] * 1500 + [20] * 30
+    numbered = numbered_in(pairs, ["batch"], ["ptctripid", "source"], "place", rows_per_chunk=97).collect()
+    assert sorted(r.place for r in numbered) == list(range(1, 3032))
+    assert all(r.place > 3001 for r in numbered if r.ptctripid is None)
+
+
 @pytest.mark.parametrize("zone", ["UTC", "America/Toronto", "Asia/Tokyo"])
 def test_days_and_bins_do_not_move_with_the_session_zone(spark, zone):
     moments = [at(0, 0), at(0, 4, 59), at(23, 55), at(23, 59, 59), at(23, 59, 59, day=12), at(0, 0, day=14)]

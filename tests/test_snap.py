@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from odflow.operators import gateways
+from odflow.operators.dealt import dealt_join
 from odflow.operators.snap import routable_nodes, snap_nearest
 
 
@@ -39,6 +40,38 @@ def test_clustered_places(spark, broadcast_rows):
     assert snapped(spark, points, places, broadcast_rows=broadcast_rows) == brute(points, places)
 
 
+@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0])
+@pytest.mark.parametrize("beyond", [None, 2500])
+def test_places_of_the_own_group(spark, broadcast_rows, beyond):
+    rng = random.Random(11)
+    points, places = clustered(rng)
+    # Most points are one place's neighbours, so that a cell with many points is dealt out.
+    points += [(500 + k / 1000, 500.0) for k in range(200)]
+    grouped = [(rng.choice([61, 61, 61, 38]), *point) for point in points] + [(7, 1.0, 1.0), (None, 2.0, 2.0)]
+    gates = [(rng.choice([61, 38, 38]), *place) for place in places] + [(61, None, 1.0, 9000), (None, 3.0, 3.0, 9001)]
+    found = snap_nearest(spark.createDataFrame(grouped, "mun int, x double, y double"),
+                         spark.createDataFrame(gates, "mun int, x double, y double, node_id long"),
+                         broadcast_rows, "mun", beyond, share_rows=20)
+    want = {}
+    for mun, px, py in grouped:
+        distances = [((px - x) ** 2 + (py - y) ** 2, node) for own, x, y, node in gates if own == mun and x is not None and mun is not None]
+        distances = [entry for entry in distances if beyond is None or entry[0] > beyond ** 2]
+        if distances:
+            want[mun, px, py] = min(distances)
+    assert {(r.mun, r.x, r.y): (r.d2, r.node_id) for r in found.collect()} == want
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_a_hot_key_is_dealt_out(spark, how):
+    left = spark.createDataFrame([(1, k) for k in range(2000)] + [(None, k) for k in range(500)] + [(2, 0), (2, 0), (3, 5)],
+                                 "key int, n int")
+    right = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (4, "e")], "other int, value string")
+    got = dealt_join(left, right, [("key", "other")], how, share_rows=100)
+    want = left.join(right, F.col("key") == F.col("other"), how)
+    assert got.columns == want.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+
+
 def test_ties_and_missing_points(spark):
     places = [(x * 10, y * 10, 1000 - x - 20 * y) for x in range(20) for y in range(20)]
     points = [(x * 5, y * 5) for x in range(-3, 45) for y in range(-3, 45)] + [(None, None), (3, None)]
@@ -63,8 +96,8 @@ GATES = [(1, 61, None, "shorter_points", 3000, 0), (2, 61, "outbound", "shorter_
          (5, 61, None, "longer_points", 200, 0), (6, 38, "inbound", "longer_points", 9000, 0)]
 
 
-@pytest.mark.parametrize("list_rows", [10_000, 0])
-def test_gateway_choice(spark, monkeypatch, list_rows):
+@pytest.mark.parametrize(("list_rows", "broadcast_rows"), [(10_000, 1_000_000), (0, 1_000_000), (0, 0)])
+def test_gateway_choice(spark, monkeypatch, list_rows, broadcast_rows):
     monkeypatch.setattr(gateways, "LIST_ROWS", list_rows)
     gates = spark.createDataFrame(GATES, "node_id long, mun_id int, bound string, short_long string, x long, y long")
     trips = spark.createDataFrame(
@@ -72,7 +105,8 @@ def test_gateway_choice(spark, monkeypatch, list_rows):
          ("city", 69, 0, 0), ("unknown", None, 0, 0), ("at bound", 61, 6000, 0)], "id string, mun int, px long, py long")
 
     def chosen(direction):
-        return {r.id: r.gate for r in gateways.match_gateway(trips, gates, direction, "mun", "px", "py", "gate").collect()}
+        return {r.id: r.gate for r in gateways.match_gateway(trips, gates, direction, "mun", "px", "py", "gate",
+                                                                    broadcast_rows=broadcast_rows, share_rows=2).collect()}
 
     out = chosen("outbound")
     assert out["near"] == 2 and out["far"] == 5 and out["none"] is None
