@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -228,3 +229,48 @@ def test_bounds_save_most_labels():
     _, _, labels = relax.relaxed(graph, size, sources, owner, targets)
     _, _, fewer = relax.goal_directed(graph, size, sources, owner, targets, relax.Bounds.of(graph, size))
     assert fewer < labels / 2
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_paths_searched_from_the_target_are_the_same(seed):
+    """Ties and unreachable starts included: labels made against the edges give the paths that labels along them give."""
+    rng = random.Random(seed)
+    size = 60
+    rows = [(k, rng.randrange(size), rng.randrange(size), rng.choice([0, 1, 1, 2])) for k in range(rng.choice([70, 150, 400]))]
+    ids, tails, heads, cost = (np.array(column) for column in zip(*rows))
+    graph, turned = relax._Graph.of(ids, tails, heads, cost, size), relax._Graph.of(ids, heads, tails, cost, size)
+    owner, ends = np.divmod(np.arange(10 * size), size)
+    roots = np.array(rng.sample(range(size), 10))
+    dist, hops, _ = relax.relaxed(turned, size, roots, owner, ends)
+    reached = np.flatnonzero(dist < 1 << 60)
+    pair, edge = relax._read_ahead_by_chunks(graph, size, dist, hops, owner[reached], roots, ends[reached])
+    sources = np.arange(size)
+    plain, plain_hops, _ = relax.relaxed(graph, size, sources, *np.divmod(np.arange(size * size), size))
+    starts, targets = ends[reached], roots[owner[reached]]
+    assert (plain[starts * size + targets] == dist[reached]).all() and (plain_hops[starts * size + targets] == hops[reached]).all()
+    want_pair, want_edge = relax.read_back(graph, size, plain, plain_hops, starts, targets)
+    assert (pair == want_pair).all() and (edge == want_edge).all()
+
+
+def test_networks_are_not_copied_for_every_few_sources(spark):
+    """A copy of a network for each part: hardly more parts than profiles, but a profile of its own spreads over the tasks."""
+    many = spark.range(40 * 300).selectExpr("id % 40 AS profile", "id AS source", "0L AS target")
+    slots = spark.sparkContext.defaultParallelism
+    assert {r.parts for r in relax.parts_of_profiles(many).collect()} == {-(-relax.PARTS_PER_SLOT * slots // 40)}
+    one = spark.range(128 * 1000).selectExpr("0L AS profile", "id AS source", "0L AS target")
+    assert [r.parts for r in relax.parts_of_profiles(one).collect()] == [relax.PARTS_PER_SLOT * slots]
+
+
+@pytest.mark.parametrize("kind", ["long", "double"])
+def test_packed_edges_are_the_same_and_small(spark, kind):
+    edges = spark.range(20_000).selectExpr(
+        "id % 7 AS profile", "id AS edge_id", "id div 8 AS edge_source", "id div 8 + (id * 31) % 200 - 100 AS edge_target",
+        f"CAST(1000 + (id * 7919) % 997 AS {kind}) + IF(id = 8, 1e18D, 0) AS edge_cost")
+    edges = edges.withColumn("edge_cost", F.col("edge_cost").cast(kind))
+    packs = relax.packed_edges(edges, edges.schema["edge_cost"].dataType).collect()
+    assert sum(len(p.edges) for p in packs) < 20_000 * 8
+    got = set()
+    for pack in packs:
+        columns = relax._unpacked([pa.scalar(pack.edges)], np.int64 if kind == "long" else np.float64)
+        got |= {(pack.profile, *row) for row in zip(*[column.tolist() for column in columns])}
+    assert got == {tuple(row) for row in edges.collect()}
