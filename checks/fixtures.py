@@ -12,11 +12,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from odflow.functions.bins import DayRange, bin_starts, step_of_day
+from odflow.functions.bins import DayRange, bins_of, step_of_day
 from odflow.plans.prepare import TripInputs
 from odflow import schemas
 from odflow.sources import tables
-from odflow.sources.network import TimedNetwork
+from odflow.sources.network import TimedNetwork, every_edge
 from odflow.sources.quarantine import constraints, split
 
 # The service days the events cover; a routing job names its days.
@@ -184,9 +184,10 @@ def streets(spark: SparkSession, sf_dir: str) -> TimedNetwork:
 
 def snapshots(spark: SparkSession, sf_dir: str, days: list[DayRange]) -> TimedNetwork:
     """The network as a table with the costed edges of every bin of the days."""
-    cost = SNAPSHOT_COST.format(step="hour(bin_start) * 12 + minute(bin_start) div 5", bin="bin_start")
-    spread = edges(spark, sf_dir).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
-    costed = spread.withColumn("bin_start", F.explode(bin_starts(days)))
+    # The step and the day are worked out once per bin.
+    bins = bins_of(spark, days).selectExpr("bin_start", "hour(bin_start) * 12 + minute(bin_start) div 5 AS step", "day(bin_start) AS month_day")
+    costed = every_edge(bins, "bin_start", edges(spark, sf_dir))
+    cost = SNAPSHOT_COST.format(step="step", bin="bin_start").replace("day(bin_start)", "month_day")
     return TimedNetwork.from_table(costed.selectExpr("bin_start", "id", "source", "target", f"{cost} AS cost"))
 
 

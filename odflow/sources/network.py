@@ -8,12 +8,24 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from odflow.functions.bins import DayRange, bin_starts, bins_of
-from odflow.runtime import broadcast_if_small
+from odflow.functions.bins import DayRange, bins_of
+from odflow.runtime import BROADCAST_ROWS, broadcast_if_small
 
 EDGE_COLUMNS = ("id", "source", "target", "cost")
 
 
+def every_edge(bins: DataFrame, key: str, edges: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Every row of ``bins``, a few hundred a day, with every edge.
+
+    While the edges are few enough to be broadcast, bins are dealt out, and the edges of a bin come in a row. Else edges are
+    dealt out. Either way the work is spread however few files the edges are in.
+    """
+    tasks = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if edges.limit(max_rows + 1).count() <= max_rows:
+        return bins.repartition(tasks, key).join(F.broadcast(edges), how="cross")
+    return edges.repartition(tasks, "id").join(F.broadcast(bins), how="cross")
+
+
 @dataclass(frozen=True)
 class TimedNetwork:
     """Directed edges whose cost depends on the five-minute bin.
@@ -90,8 +102,7 @@ class TimedNetwork:
         if self.cost is None:
             keyed = bins_of(self.edges.sparkSession, days).withColumn("profile", self.profile(F.col("bin_start")))
             return keyed.join(self.edges, "profile").select("bin_start", *EDGE_COLUMNS)
-        # Every edge becomes many rows, so even a small edge table is spread out first.
-        tasks = int(self.edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        return (self.edges.repartition(tasks, "id").withColumn("bin_start", F.explode(bin_starts(days)))
-                .withColumn("cost", self.cost(self.profile(F.col("bin_start")), F.col))
-                .select("bin_start", *EDGE_COLUMNS))
+        # What depends on the bin is worked out once per bin, not once per edge of it.
+        keyed = bins_of(self.edges.sparkSession, days).select("bin_start", self.profile(F.col("bin_start")).alias("profile"))
+        keyed = every_edge(keyed, "bin_start", self.edges)
+        return keyed.withColumn("cost", self.cost(F.col("profile"), F.col)).select("bin_start", *EDGE_COLUMNS)

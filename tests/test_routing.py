@@ -10,6 +10,7 @@ from odflow.functions.bins import bins_of, in_days, step_of_day
 from odflow.operators.ranges import numbered_in
 from odflow.plans.routing import batch_arrays, od_batches, with_bins
 from odflow.runtime import session_conf
+from odflow.sources import network as network_module
 from odflow.sources.tables import read_routed, write_prepared
 
 DAY = [(date(2018, 9, 13), date(2018, 9, 14))]
@@ -163,3 +164,21 @@ def test_few_files_in_order(spark, tmp_path):
     assert len(files) == 1
     ids = [r.ptctripid for r in spark.read.parquet(str(files[0])).collect()]
     assert ids == sorted(ids)
+
+
+@pytest.mark.parametrize("max_rows", [1000, 0])
+def test_a_bin_is_looked_at_once_however_many_edges_it_has(spark, max_rows, monkeypatch):
+    every = network_module.every_edge
+    monkeypatch.setattr(network_module, "every_edge", lambda *args: every(*args, max_rows=max_rows))
+    looks = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def profile(bin_start):
+        looks.add(1)
+        return bin_start.hour
+
+    edges = spark.range(200).selectExpr("id", "id AS source", "id + 1 AS target", "id * 10 AS base")
+    network = TimedNetwork(edges, profile=profile, cost=lambda profile, edge: edge("base") + profile)
+    rows = network.for_days([(date(2024, 3, 1), date(2024, 3, 2))]).agg(F.count("*"), F.sum("cost")).first()
+    assert tuple(rows) == (288 * 200, 288 * sum(range(200)) * 10 + 200 * 12 * sum(range(24)))
+    assert looks.value <= 2 * 288
