@@ -4,6 +4,7 @@ from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
 from odflow import RouteJob, TimedNetwork, run_jobs
 from odflow.functions.bins import bins_of, in_days, step_of_day
@@ -182,3 +183,17 @@ def test_a_bin_is_looked_at_once_however_many_edges_it_has(spark, max_rows, monk
     rows = network.for_days([(date(2024, 3, 1), date(2024, 3, 2))]).agg(F.count("*"), F.sum("cost")).first()
     assert tuple(rows) == (288 * 200, 288 * sum(range(200)) * 10 + 200 * 12 * sum(range(24)))
     assert looks.value <= 2 * 288
+
+
+def test_a_rewrite_stores_its_rows_once(spark, tmp_path, monkeypatch):
+    """No copy of the rows beside the table, and the days without rows lose what they had."""
+    trips = spark.createDataFrame([row("t1", "p1", datetime(2018, 9, 13, 8), 1, 2)], PREPARED)
+    path = str(tmp_path / "prepared")
+    write_prepared(trips, path, DAY)
+    made = []
+    plain = DataFrame.checkpoint
+    monkeypatch.setattr(DataFrame, "checkpoint", lambda df, *args, **named: (made.append(df), plain(df, *args, **named))[1])
+    write_prepared(trips, path, DAY)
+    assert not made and spark.read.parquet(path).count() == 1
+    write_prepared(trips.limit(0), path, DAY)
+    assert not made and not list((tmp_path / "prepared").glob("service_date=*"))
