@@ -52,8 +52,10 @@ def failing(line: Column, rules: LineRules) -> Column:
     words = F.size(_words(line))
     symbols = F.length(line) - F.length(_without(line, SYMBOLS))
     shouts = (F.length(line) - F.length(F.replace(line, F.lit("!!"), F.lit("")))) / 2
+    # Words are counted only where there is something to hold against them; most lines have neither symbols nor shouts.
     return (~line.rlike(rules.sentence_mark) | line.rlike(rules.navigation) | line.rlike(rules.boilerplate)
-            | (symbols > words * rules.symbols_per_word) | (shouts > words * rules.shouts_per_word))
+            | ((symbols > 0) & (symbols > words * rules.symbols_per_word))
+            | ((shouts > 0) & (shouts > words * rules.shouts_per_word)))
 
 
 def _with_repeated_words(docs: DataFrame) -> DataFrame:
