@@ -3,6 +3,7 @@
 import heapq
 import random
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -274,3 +275,53 @@ def test_packed_edges_are_the_same_and_small(spark, kind):
         columns = relax._unpacked([pa.scalar(pack.edges)], np.int64 if kind == "long" else np.float64)
         got |= {(pack.profile, *row) for row in zip(*[column.tolist() for column in columns])}
     assert got == {tuple(row) for row in edges.collect()}
+
+
+def test_paths_are_not_stored(spark, tmp_path):
+    """What a search leaves below the checkpoint folder grows with the pairs, not with the steps of their paths."""
+    size = 400
+    edges = spark.createDataFrame([(0, k, k, k + 1, 1 + k * 7919 % 997) for k in range(size)], "profile int, id long, source long, target long, cost long")
+    pairs = spark.createDataFrame([(0, k, t) for k in range(10) for t in range(size - 100, size)], "profile int, source long, target long")
+    folder = Path(spark.sparkContext._jsc.sc().getCheckpointDir().get().replace("file:", ""))
+
+    def held():
+        return sum(file.stat().st_size for file in folder.rglob("*") if file.is_file())
+
+    before = held()
+    rows = path_rows(search(pairs, TimedNetwork(edges))).count()
+    assert rows > 300 * 1000 and held() - before < rows
+
+
+def test_rows_bring_their_columns_and_pairs_are_searched_once(spark, monkeypatch):
+    rng = random.Random(8)
+    edges = {0: grid(rng, lambda r: r.choice([0, 1, 2, 5]))}
+    costed = spark.createDataFrame([(0, *e) for e in edges[0]], "profile int, id long, source long, target long, cost long")
+    wanted = [(0, s, t) for s in (0, 5, 24) for t in range(49) if s != t]
+    trips = spark.createDataFrame([(f"t{k}", *p) for k in range(4) for p in wanted], "trip string, profile int, source long, target long")
+    # A source has more rows than a part is meant to have, so that they are dealt out.
+    monkeypatch.setattr(relax, "PAIRS_PER_PART", 50)
+    result = search(trips.select("profile", "source", "target").distinct(), TimedNetwork(costed))
+    plain = {(r.source, r.target): r.steps for r in paths.pair_paths(result).collect()}
+    met = result.along(trips).filter("error IS NULL").collect()
+    assert len(met) == 4 * len(plain) and len({(r.trip, r.source, r.target) for r in met}) == len(met)
+    assert all(r.steps == plain[(r.source, r.target)] for r in met)
+
+
+def test_edges_dealt_out_by_profile_stay_where_they_are(spark):
+    rng = random.Random(9)
+    edges = {p: grid(rng, lambda r: r.choice([0, 1, 2, 5])) for p in range(6)}
+    pairs = sorted({(rng.randrange(6), rng.randrange(49), rng.randrange(49)) for _ in range(200)})
+    pairs = [p for p in pairs if p[1] != p[2]]
+    costed = spark.createDataFrame([(p, *e) for p, es in edges.items() for e in es], "profile int, id long, source long, target long, cost long")
+    network = TimedNetwork(costed.repartition(5, "profile"), by_profile=True)
+    wanted = spark.createDataFrame(pairs, "profile int, source long, target long")
+    result = search(wanted, network)
+    found = {(r.profile, r.source, r.target): (r.dist, r.hops) for r in result.found.collect()}
+    rows = defaultdict(list)
+    for r in sorted(path_rows(result).collect(), key=lambda r: r.path_seq):
+        rows[(r.profile, r.start_vid, r.end_vid)].append(r)
+    check(edges, pairs, found, rows)
+    one = relax.paths_in_tasks(wanted.filter("source < 3"), network, costed.schema["cost"].dataType, True,
+                               spark.createDataFrame([(p, 1) for p in range(6)], "profile int, parts int"))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and plan.count("REPARTITION_BY_NUM") == 1 and plan.count("Exchange hashpartitioning") == 2
