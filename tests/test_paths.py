@@ -325,3 +325,34 @@ def test_edges_dealt_out_by_profile_stay_where_they_are(spark):
                                spark.createDataFrame([(p, 1) for p in range(6)], "profile int, parts int"))
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert "MapInArrow" not in plan and plan.count("REPARTITION_BY_NUM") == 1 and plan.count("Exchange hashpartitioning") == 2
+
+
+def test_static_edges_are_costed_where_the_parts_are(spark):
+    """Edges x profiles are neither shuffled nor sorted, and the paths are those of a solver."""
+    rng = random.Random(10)
+    base = grid(rng, lambda r: r.choice([0, 1, 2, 5]))
+    edges = {p: [(k, a, b, cost + (k + p) % 3 if k % 9 else -1) for k, a, b, cost in base] for p in range(6)}
+    pairs = sorted({(rng.randrange(6), rng.randrange(49), rng.randrange(49)) for _ in range(200)})
+    pairs = [p for p in pairs if p[1] != p[2]]
+    static = spark.createDataFrame(base, "id long, source long, target long, base long")
+    network = TimedNetwork(static, cost=lambda profile, edge: F.when(edge("id") % 9 == 0, -1).otherwise(edge("base") + (edge("id") + profile) % 3))
+    wanted = spark.createDataFrame(pairs, "profile int, source long, target long")
+    result = search(wanted, network)
+    found = {(r.profile, r.source, r.target): (r.dist, r.hops) for r in result.found.collect()}
+    rows = defaultdict(list)
+    for r in sorted(path_rows(result).collect(), key=lambda r: r.path_seq):
+        rows[(r.profile, r.start_vid, r.end_vid)].append(r)
+    check(edges, pairs, found, rows)
+    plan = result.along(wanted)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and plan.count("REPARTITION_BY_NUM") == 1 and plan.count("Exchange hashpartitioning") == 1
+    assert plan.count("Sort [") == 1
+
+
+def test_sources_with_very_many_rows_are_known_from_the_count_of_parts(spark, monkeypatch):
+    monkeypatch.setattr(relax, "PAIRS_PER_PART", 50)
+    rows = spark.range(200).selectExpr("0 AS profile", "IF(id < 60, 7L, id) AS source", "id AS target")
+    parts = relax.parts_of_profiles(rows)
+    assert parts.first().hot == [7]
+    dealt = relax._dealt(rows, parts)
+    assert dealt.filter("source = 7").select("part").distinct().count() > 1
+    assert "Exchange hashpartitioning" not in dealt._jdf.queryExecution().executedPlan().toString()

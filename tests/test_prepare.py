@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from checks import fixtures
 from checks.compare import spark_rows
 from odflow import ALL_IMPUTED, CITY, CITY_AS_WRITTEN, CITY_SENTINEL, EXTERNAL, TripInputs, prepare
+from odflow.plans import prepare as plans_prepare
 from odflow.plans.prepare import slice_days
 from odflow.sources.tables import with_precise_times
 
@@ -138,3 +139,13 @@ def test_day_filter_and_columns_reach_the_scan(spark, tmp_path):
                         [(date(2018, 9, 13), date(2018, 9, 14))])
     plan = sliced._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(request_datetime" in plan and "unused" not in plan
+
+
+def test_trips_are_shuffled_once_beside_very_many_places_and_before_they_get_wider(spark, sf_dir, monkeypatch):
+    """A million and more intersections are still looked up by broadcasts, on trips as they were read."""
+    many = spark.range(1_100_000).selectExpr("id AS int_id", "id AS x", "id AS y", "id AS node")
+    monkeypatch.setattr(plans_prepare, "snapped_places", lambda *_: many)
+    plan = prepare(fixtures.trip_inputs(spark, sf_dir), ALL_IMPUTED)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning(service_date") == 1
+    # A plan is printed from its end: the joins come after the shuffle.
+    assert plan.rindex("HashJoin [") < plan.index("Exchange hashpartitioning(service_date")
