@@ -356,3 +356,15 @@ def test_sources_with_very_many_rows_are_known_from_the_count_of_parts(spark, mo
     dealt = relax._dealt(rows, parts)
     assert dealt.filter("source = 7").select("part").distinct().count() > 1
     assert "Exchange hashpartitioning" not in dealt._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_taken_along_need_no_pairs(spark, monkeypatch):
+    """Who brings rows to the search neither draws nor stores nor counts the pairs first."""
+    costed = spark.createDataFrame([(0, 1, 5, 6, 2), (0, 2, 6, 7, 3)], "profile int, id long, source long, target long, cost long")
+    trips = spark.createDataFrame([("a", 0, 5, 7), ("b", 0, 5, 7), ("c", 0, 7, 5)], "trip string, profile int, source long, target long")
+    stored = []
+    monkeypatch.setattr(paths, "stored", lambda df, name: stored.append(name) or checkpointed(df))
+    result = search(trips.select("profile", "source", "target").distinct(), TimedNetwork(costed))
+    assert {(r.trip, len(r.steps)) for r in result.along(trips).collect()} == {("a", 3), ("b", 3)} and not stored
+    assert [(r.source, r.target, r.dist) for r in result.found.collect()] == [(5, 7, 5)] and stored == ["pairs"]
+    assert path_rows(result).count() == 3 and result.failures.isEmpty() and stored == ["pairs"]
