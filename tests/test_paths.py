@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from odflow.operators import paths, relax
 from odflow.operators.overlay import components, contracted, overlay_edges
 from odflow.operators.paths import path_rows, search
-from odflow.runtime import checkpointed
+from odflow.runtime import checkpointed, stored
 from odflow.sources.network import TimedNetwork
 
 
@@ -368,3 +368,10 @@ def test_rows_taken_along_need_no_pairs(spark, monkeypatch):
     assert {(r.trip, len(r.steps)) for r in result.along(trips).collect()} == {("a", 3), ("b", 3)} and not stored
     assert [(r.source, r.target, r.dist) for r in result.found.collect()] == [(5, 7, 5)] and stored == ["pairs"]
     assert path_rows(result).count() == 3 and result.failures.isEmpty() and stored == ["pairs"]
+
+
+def test_kept_tables_are_compressed_well(spark):
+    """Trips and pairs of a search are kept once, in the smaller of the usual compressions."""
+    kept = stored(spark.range(100).selectExpr("id", "id % 7 AS profile"), "kept")
+    assert {name.split(".")[-2] for name in map(str, kept.inputFiles())} == {"zstd"}
+    assert kept.count() == 100
