@@ -375,3 +375,21 @@ def test_kept_tables_are_compressed_well(spark):
     kept = stored(spark.range(100).selectExpr("id", "id % 7 AS profile"), "kept")
     assert {name.split(".")[-2] for name in map(str, kept.inputFiles())} == {"zstd"}
     assert kept.count() == 100
+
+
+@pytest.mark.parametrize("broken, kind, error", [(float("nan"), "double", "ValueError: an edge costs no finite number"),
+                                                 (1 << 62, "long", "OverflowError: the cost of a path may not be exact")])
+def test_failures_do_not_depend_on_the_size_of_the_network(spark, broken, kind, error):
+    """By rounds, as for a network too large for a task, a profile fails alone and is reported as it is in tasks."""
+    as_kind = float if kind == "double" else int
+    edges = [(p, k, k, k + 1, as_kind(k + 1)) for p in range(3) for k in range(5)] + [(1, 9, 7, 8, broken), (4, 9, 7, 8, broken)]
+    costed = spark.createDataFrame(edges, f"profile int, id long, source long, target long, cost {kind}")
+    trips = spark.createDataFrame([("a", 0, 0, 3), ("b", 1, 0, 3), ("c", 2, 1, 5)], "trip string, profile int, source long, target long")
+    seen = []
+    for task_edges in (100, 0):
+        result = search(trips.select("profile", "source", "target"), TimedNetwork(costed), task_edges=task_edges)
+        found = sorted(tuple(r) for r in result.found.select("profile", "source", "target", "dist", "hops").collect())
+        along = {(r.trip, r.profile, r.steps and len(r.steps), r.error) for r in result.along(trips).collect()}
+        seen.append((found, {tuple(r) for r in result.failures.collect()}, along))
+    assert seen[0][1] == {(1, error)} and seen[1] == seen[0]
+    assert seen[0][2] == {("a", 0, 4, None), (None, 1, None, error), ("c", 2, 5, None)}
