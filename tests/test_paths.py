@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from odflow.operators import paths, relax
 from odflow.operators.overlay import components, contracted, overlay_edges
@@ -393,3 +394,52 @@ def test_failures_do_not_depend_on_the_size_of_the_network(spark, broken, kind,
         seen.append((found, {tuple(r) for r in result.failures.collect()}, along))
     assert seen[0][1] == {(1, error)} and seen[1] == seen[0]
     assert seen[0][2] == {("a", 0, 4, None), (None, 1, None, error), ("c", 2, 5, None)}
+
+
+def solved(monkeypatch, rows, pairs, kind, keyed, **limits):
+    """What a task finds for (source, target) pairs on (id, source, target, cost) edges: {pair: (dist, hops, steps)}."""
+    with monkeypatch.context() as patch:
+        for name, value in limits.items():
+            patch.setattr(relax, name, value)
+        if not keyed:
+            patch.setattr(relax.Keyed, "fits", staticmethod(lambda costs, size: False))
+        wanted = pa.table({"profile": [0] * len(pairs), "source": [a for a, _ in pairs], "target": [b for _, b in pairs]})
+        edges = pa.table({"profile": [0] * len(rows), **{f"edge_{name}": list(column) for name, column in
+                                                         zip(("id", "source", "target", "cost"), zip(*rows))}})
+        cost_type = T.DoubleType() if kind == "double" else T.LongType()
+        costs, steps = [relax._solver(cost_type, ["profile", "source", "target"], with_steps)(wanted, edges).to_pylist()
+                        for with_steps in (False, True)]
+    assert all(r["error"] is None for r in [*costs, *steps])
+    found = {(r["source"], r["target"]): r["steps"] for r in steps}
+    return {(r["source"], r["target"]): (r["dist"], r["hops"], found.pop((r["source"], r["target"]))) for r in costs}
+
+
+@pytest.mark.parametrize("seed", range(24))
+def test_keys_of_cost_and_edges_change_no_path(monkeypatch, seed):
+    """Free edges, ties, hubs, dear edges, vertices that nothing leaves or enters, and roots left for another block."""
+    rng = random.Random(seed)
+    size, kind = rng.choice([8, 60, 150]), rng.choice(["long", "double"])
+    cost = rng.choice([lambda: rng.choice([0, 1, 1, 2]), lambda: rng.randrange(1000, 2000), lambda: rng.choice([0, 1, 10 ** 6]), lambda: 1])
+    ends = rng.choice([lambda: rng.randrange(size), lambda: rng.choice([0, 1, rng.randrange(size)])])
+    number = rng.choice([size, 4 * size])
+    rows = [(k * 7919 % 99991, ends(), rng.randrange(size), cost()) for k in range(number)] + [
+        (100_000 + k, k, k + 1, cost()) for k in range(0, size - 1, 2)]
+    rng.shuffle(rows)
+    pairs = sorted({(rng.randrange(size), rng.randrange(size)) for _ in range(300)} | {(0, t) for t in range(size)} | {(s, 1) for s in range(size)})
+    pairs = [p for p in pairs if p[0] != p[1]]
+    plain = solved(monkeypatch, rows, pairs, kind, False)
+    for limits in ({}, {"BLOCK_LABELS": 8 * size, "BUDGET": 2, "GUIDES": rng.choice([1, 4]), "BOUNDED_SOURCES": 1, "LOOK_WINDOWS": 1, "ROW_EDGES": 2, "MASKED_ROWS": rng.choice([1, 8]), "WINDOWS_HELD": 3}):
+        assert solved(monkeypatch, rows, pairs, kind, True, **limits) == plain
+
+
+def test_labels_of_a_search_are_expanded_once():
+    """With the windows no wider than the cheapest edge a label is final when it is expanded."""
+    size = 40 * 40
+    steps = {1: 1000, -1: 1000, 40: 1000, -40: 1000, 5: 4800, -5: 4800, 200: 4800, -200: 4800}
+    rows = [(k, v, v + s, steps[s] + k * 7919 % 997) for k, (v, s) in enumerate((v, s) for v in range(size) for s in steps) if 0 <= v + s < size]
+    ids, tails, heads, cost = (np.array(column) for column in zip(*rows))
+    graph = relax._Graph.of(ids, tails, heads, cost, size)
+    owner, targets = np.divmod(np.arange(5 * size), size)
+    _, _, made = relax.relaxed(graph, size, np.arange(5) * 300, owner, targets)
+    left, expanded = relax.settled_keys(relax.Keyed(graph, size), np.arange(5) * 300, owner, targets, relax.Keys(5 * size))
+    assert not len(left) and expanded == 5 * size < made / 1.3
