@@ -443,3 +443,30 @@ def test_labels_of_a_search_are_expanded_once():
     _, _, made = relax.relaxed(graph, size, np.arange(5) * 300, owner, targets)
     left, expanded = relax.settled_keys(relax.Keyed(graph, size), np.arange(5) * 300, owner, targets, relax.Keys(5 * size))
     assert not len(left) and expanded == 5 * size < made / 1.3
+
+
+@pytest.mark.parametrize("kind", ["long", "double"])
+def test_groups_of_a_task_with_the_same_edges_order_them_once(monkeypatch, kind):
+    """Bins differ in costs: edges are put in order once, for others anew, and paths are those of a task for each bin; a bad bin harms no other."""
+    rng = random.Random(12)
+    plain = [(k, a, b) for k, a, b, _ in grid(rng, lambda r: 0)]
+    networks = [[(*e, rng.choice([0, 1, 2, 5])) for e in plain] for _ in range(3)]
+    if kind == "double":
+        networks.insert(1, [(*e, float("nan")) for e in plain])
+    networks += [networks[0][5:], list(reversed(networks[0])), networks[0]]
+    pairs = [(a, b) for a in range(0, 49, 3) for b in range(0, 49, 2) if a != b]
+    cost_type = T.DoubleType() if kind == "double" else T.LongType()
+    ordered = []
+    made = relax._Network.__init__
+    monkeypatch.setattr(relax._Network, "__init__", lambda self, *edges: ordered.append(1) or made(self, *edges))
+
+    def tables(rows):
+        return (pa.table({"profile": [0] * len(pairs), "source": [a for a, _ in pairs], "target": [b for _, b in pairs]}),
+                pa.table({f"edge_{name}": pa.array(column, pa.float64() if name == "cost" and kind == "double" else pa.int64())
+                          for name, column in zip(("id", "source", "target", "cost"), zip(*rows))}))
+
+    one = relax._solver(cost_type, ["profile", "source", "target"], True)
+    together = [one(*tables(rows)).to_pylist() for rows in networks]
+    assert len(ordered) == (5 if kind == "double" else 4)
+    apart = [relax._solver(cost_type, ["profile", "source", "target"], True)(*tables(rows)).to_pylist() for rows in networks]
+    assert together == apart and all(len(found) > 300 for found in together if found[0]["error"] is None)
